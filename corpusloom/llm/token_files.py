@@ -109,6 +109,16 @@ class WordEncoder:
         return [b"".join(extra[w] if w in extra else self.cache[w] for w in ws) for ws in split]
 
 
+_WORKER: dict[tuple[str, int], WordEncoder] = {}
+
+
+def encoder_of(path: str, end_id: int) -> WordEncoder:
+    """One for each worker process: its tokenizer and cache serve all tasks that the process runs."""
+    if (path, end_id) not in _WORKER:
+        _WORKER[path, end_id] = WordEncoder(path, end_id)
+    return _WORKER[path, end_id]
+
+
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
@@ -120,7 +130,7 @@ def write_token_files(docs: DataFrame, scratch: Scratch, tokenizer: str, end_id:
     root = scratch.path("tokens")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, encoder = TaskContext.get().partitionId(), WordEncoder(tokenizer, end_id)
+        number, encoder = TaskContext.get().partitionId(), encoder_of(tokenizer, end_id)
         end = np.array([end_id], encoder.dtype).tobytes()
         fs, top = _open(root)
         path, temp = f"{top}/shard-{number:05d}", f"{top}/tmp-{uuid.uuid4().hex}"
