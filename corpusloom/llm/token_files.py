@@ -37,11 +37,13 @@ from corpusloom.scratch import Scratch
 
 NULL_ID = -(2**63)
 #: Entries a worker keeps of its cache of words; longer words aren't kept.
-CACHE_WORDS, CACHE_CHARS = 400_000, 48
+CACHE_WORDS, CACHE_CHARS = 600_000, 48
 
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 #: A stop or comma that ends a word and follows something other than a plain letter or digit: it may be one token with it.
 _JOINED = re.compile(r"[^a-zß-öø-ÿ0-9][.,](?:[\x20\x09-\x0D]|$)")
+#: How the tokenizer cuts a printable ASCII word (fixed by its file).
+_ASCII = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 _UNUSUAL = re.compile("[^\x00-\xff]")
 
 
@@ -73,11 +75,23 @@ class WordEncoder:
     def _pack(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
 
+    def _piece(self, piece: str) -> bytes:
+        return self._pack([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))])
+
     def _learn(self, words: set[str], into: dict[str, bytes]) -> None:
         rest = []
         for w in words:
             if _PLAIN.fullmatch(w):  # one run of lower-case letters is one piece for the model
-                into[w] = self._pack([t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))])
+                into[w] = self._piece(w)
+            elif w.isascii() and w.isprintable() and "<|" not in w and len(w) <= CACHE_CHARS:
+                parts = _ASCII.findall(w.lower())
+                if len(parts) == 1 and parts[0] != w:
+                    into[w] = self._piece(parts[0])
+                    continue
+                for p in parts:
+                    if p not in into:
+                        into[p] = self._piece(p)
+                into[w] = b"".join(map(into.__getitem__, parts))
             else:
                 rest.append(w)
         for i in range(0, len(rest), 1000):
@@ -99,7 +113,7 @@ class WordEncoder:
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
         split = [self.words(t) for t in texts]
-        new = set().union(*split) - self.cache.keys()
+        new = set().union(*split).difference(self.cache)
         long = {w for w in new if len(w) > CACHE_CHARS}
         self._learn(new - long, self.cache)
         if not long:
