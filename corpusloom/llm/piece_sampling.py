@@ -247,7 +247,7 @@ class PieceSampler:
         if len(self.known) > CACHE_UNITS:
             self.reset()
         known = self.known
-        new = set(units) - known.keys()
+        new = set(units).difference(known)
         long = {u for u in new if len(u) > CACHE_CHARS}
         self._learn(new - long)
         kept = [(array, array.n) for array in (self.end, self.size, self.room, self.first, self.cum, self.prev, self.piece)]
