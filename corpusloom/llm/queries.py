@@ -6,9 +6,8 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from corpusloom.llm import language_id, ngram_join, piece_sampling, quality_model, quality_rules, token_files
+from corpusloom.llm import decontamination, language_id, line_dedup, ngram_join, piece_sampling, quality_model, quality_rules, token_files
 from corpusloom.llm.texts import table
 from corpusloom.scratch import Scratch
 
@@ -26,6 +25,14 @@ def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark, "op3"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op5"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), Scratch(spark, "op6")).select("doc_id", "text", "gone_lines")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_languages(table(spark, sf_dir, "documents"), Scratch(spark, "op7"))
 
@@ -40,8 +47,8 @@ def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_quality_model, op7_language_id, op8_ngram_join, op9_piece_sampling)}
+    return {f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_quality_model, op5_decontamination, op6_line_dedup, op7_language_id, op8_ngram_join, op9_piece_sampling)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.oracle(), "op8_ngram_join": ngram_join.oracle()}
+    return {"op2_quality_rules": quality_rules.oracle(), "op5_decontamination": decontamination.oracle(), "op6_line_dedup": line_dedup.oracle(), "op8_ngram_join": ngram_join.oracle()}
