@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import decontamination, language_id, line_dedup, ngram_join, piece_sampling, quality_model, quality_rules, token_files
+from corpusloom.llm import decontamination, disclosure, language_id, line_dedup, ngram_join, piece_sampling, quality_model, quality_rules, revisits, token_files
 from corpusloom.llm.texts import table
 from corpusloom.scratch import Scratch
 
@@ -25,6 +25,10 @@ def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark, "op3"))
 
 
+def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisits.query(table(spark, sf_dir, "pages"), Scratch(spark, "op4"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op5"))
 
@@ -46,9 +50,13 @@ def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).drop("decoded")
 
 
+def op10_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.digest(table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_quality_model, op5_decontamination, op6_line_dedup, op7_language_id, op8_ngram_join, op9_piece_sampling)}
+    return {f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_quality_model, op4_revisits, op5_decontamination, op6_line_dedup, op7_language_id, op8_ngram_join, op9_piece_sampling, op10_disclosure)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.oracle(), "op5_decontamination": decontamination.oracle(), "op6_line_dedup": line_dedup.oracle(), "op8_ngram_join": ngram_join.oracle()}
+    return {"op2_quality_rules": quality_rules.oracle(), "op4_revisits": revisits.oracle(), "op5_decontamination": decontamination.oracle(), "op6_line_dedup": line_dedup.oracle(), "op8_ngram_join": ngram_join.oracle()}
