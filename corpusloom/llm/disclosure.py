@@ -64,7 +64,7 @@ def luhn(number: Column) -> Column:
         d = F.ascii(c) - 48
         return F.when(i % 2 == 0, d).when(d > 4, 2 * d - 9).otherwise(2 * d)
 
-    return F.aggregate(F.transform(F.split(F.reverse(number), "(?!^)"), worth), F.lit(0), lambda a, x: a + x) % 10 == 0
+    return F.aggregate(F.transform(F.filter(F.split(F.reverse(number), ""), lambda c: c != ""), worth), F.lit(0), lambda a, x: a + x) % 10 == 0
 
 
 def valid(kind: str, value: Column) -> Column:
