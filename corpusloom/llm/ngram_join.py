@@ -3,10 +3,11 @@
 Jaccard distance is a metric, but almost all documents are at distance exactly 1 from almost all others. Voronoi cells
 around a few global pivots would then be ties: the window d(x, p) <= d(x, nearest) + 2 * 0.2 holds for every pivot, and every
 document would be replicated to every cell (see the README for figures). So pivots are found where distances below 1 can
-be: two linked documents share at least one shingle of their prefixes, the first n - ceil(0.8 n) + 1 shingles in any order
-common to all. Each shingle's posting list, cut where sizes differ by more than the threshold allows, elects its smallest
-document as pivot, and its members enter the pivot's region; a document on the border of several regions is replicated to
-each. Every linked pair thus meets in a region. Inside, a region is joined recursively: members without enough shingles in
+be: in any order common to all, two linked documents share a shingle among their first n - ceil(0.8 n) + 1, and k of them among the
+first n - ceil(0.8 n) + k. Each such shingle's posting list, cut where sizes differ by more than the threshold allows, elects its
+smallest document as pivot, and its members enter the pivot's region; a document on the border of several regions is
+replicated to each. A document too few of whose first shingles are in a list with others can link with nothing and is spared
+the rest. Every linked pair thus meets in a region. Inside, a region is joined recursively: members without enough shingles in
 common with the rest leave; pivots split the rest into Voronoi cells, with members replicated to all cells within the
 window of 2 * (1 - threshold); small cells are joined pivot by pivot with windows on the distances to earlier pivots. All
 tests of links are exact, in integers. A region too heavy for a task is first thinned against its pivot by all executors and,
@@ -72,8 +73,14 @@ def shingle_set(text: str, hashes: WordHashes) -> np.ndarray:
     return np.unique(mix(h))
 
 
+def least_shared(n: int) -> int:
+    """Shared shingles that the prefixes of two linked sets of size ``n`` must have at least."""
+    return -(-n // 5)
+
+
 def prefix_size(n: int) -> int:
-    return n - -(-NUM * n // DEN) + 1
+    """The k-th shingle that a set of n shares with a linked one is among its first n - ceil(0.8 n) + k."""
+    return n - -(-NUM * n // DEN) + least_shared(n)
 
 
 def _signed(a: np.ndarray) -> pa.Array:
@@ -128,28 +135,61 @@ def signatures(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, node long, prefix array<long>")
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = 100_000) -> Iterator[pa.Table]:
+    """Batches put together to tables of about so many rows."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
 def elect(prefixes: DataFrame) -> DataFrame:
-    """(pivot, member) from rows of (s, n, node): members of each posting list's stretches without a gap in size."""
+    """(pivot, member, k, early) from rows of (s, n, node, early).
+
+    Posting lists are cut where the size jumps by more than the threshold allows; of each stretch of two or more, the smallest set
+    is the pivot. k: shingles by which the member is in the pivot's stretches; early: whether by one of its first n - ceil(0.8 n) + 1.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_s, last_n, pivot = None, 0, 0
-        for batch in batches:
-            s, n, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            if not len(s):
-                continue
-            before_s, before_n = np.concatenate(([s[0]], s[:-1])), np.concatenate(([n[0]], n[:-1]))
-            start = (s != before_s) | (NUM * n > DEN * before_n)
+        last_s, last_n, pivot, pivot_early, alone = None, 0, 0, False, False
+        for t in gathered(batches):
+            s, n, node, early = (t.column(i).to_numpy() for i in range(4))
+            start = np.empty(len(s), bool)
             start[0] = last_s is None or s[0] != last_s or NUM * n[0] > DEN * last_n
+            start[1:] = (s[1:] != s[:-1]) | (NUM * n[1:] > DEN * n[:-1])
             lead = np.maximum.accumulate(np.where(start, np.arange(len(s)), -1))
             first = np.where(lead >= 0, node[np.maximum(lead, 0)], pivot)
-            on = ~start & (first != node)
-            if on.any():
-                pairs = np.unique(np.stack([first[on], node[on]]), axis=1)
-                yield pa.RecordBatch.from_pydict({"pivot": pa.array(pairs[0]), "member": pa.array(pairs[1])})
-            last_s, last_n, pivot = s[-1], n[-1], first[-1]
+            second = ~start & np.concatenate(([alone], start[:-1]))
+            leading = np.where(lead >= 0, early[np.maximum(lead, 0)], pivot_early)
+            pivots, members = np.concatenate([first[~start], first[second]]), np.concatenate([node[~start], first[second]])
+            if len(pivots):
+                flags = np.concatenate([early[~start], leading[second]])
+                order = np.lexsort((members, pivots))
+                pivots, members, flags = pivots[order], members[order], flags[order]
+                new = np.flatnonzero(np.concatenate(([True], (pivots[1:] != pivots[:-1]) | (members[1:] != members[:-1]))))
+                yield pa.RecordBatch.from_pydict({"pivot": pa.array(pivots[new]), "member": pa.array(members[new]), "k": pa.array(np.diff(np.append(new, len(pivots)))), "early": pa.array(np.logical_or.reduceat(flags, new))})
+            last_s, last_n, pivot, pivot_early, alone = s[-1], n[-1], first[-1], bool(leading[-1]), bool(start[-1])
 
     dealt = prefixes.repartition("s").sortWithinPartitions("s", "n", "node")
-    return dealt.mapInArrow(run, "pivot long, member long").distinct()
+    found = dealt.mapInArrow(run, "pivot long, member long, k long, early boolean")
+    return found.groupBy("pivot", "member").agg(F.sum("k").alias("k"), F.max("early").alias("early"))
+
+
+def regions_of(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(pivot, member) of the regions with two members or more that can link at all."""
+    rows = nodes.select("n", "node", F.posexplode("prefix").alias("at", "s")).select("s", "n", "node", (F.col("at") <= F.col("n") - F.ceil(F.col("n") * NUM / DEN)).alias("early"))
+    elected = scratch.save(elect(rows), "elected")
+    partner = F.ceil(F.col("n") * NUM / DEN)  # the smallest set that it can link with
+    able = elected.groupBy("member").agg(F.sum("k").alias("k")).join(nodes.select(F.col("node").alias("member"), "n"), "member").where(F.col("k") >= F.ceil(partner / 5)).select("member")
+    able = scratch.save(able, "able")
+    placed = scratch.save(elected.where("early").join(able, "member", "left_semi").select("pivot", "member"), "placed")
+    full = placed.groupBy("pivot").agg(F.count("*").alias("members")).where("members > 1").select("pivot")
+    return placed.join(full, "pivot", "left_semi")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -288,7 +328,8 @@ def join_regions(regions: DataFrame, keys: list[str]) -> DataFrame:
 
 def heavy_links(heavy: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """Links within regions of more than REGION_SHINGLES: first against the pivot, then what is left by pairs of blocks."""
-    pivots = sets.select(F.col("node").alias("pivot"), F.col("set").alias("pivot_set"))
+    smallest = heavy.groupBy("pivot").agg(F.min_by("member", F.struct("size", "member")).alias("node"))
+    pivots = smallest.join(sets, "node").select("pivot", F.col("node").alias("center"), F.col("set").alias("pivot_set"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,14 +337,14 @@ def heavy_links(heavy: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFram
             for a, b in rows_of(batch, "set", "pivot_set"):
                 a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
                 got.append(int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum()) if len(b) else 0)
-            keep = [batch.schema.get_field_index(c) for c in ("pivot", "member", "size", "pivot_size", "set")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(got, pa.int64())], names=["pivot", "member", "size", "pivot_size", "set", "shared"])
+            keep = [batch.schema.get_field_index(c) for c in ("pivot", "center", "member", "size", "pivot_size", "set")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(got, pa.int64())], names=["pivot", "center", "member", "size", "pivot_size", "set", "shared"])
 
     joined = heavy.join(pivots, "pivot").withColumn("pivot_size", (F.octet_length("pivot_set") / 8).cast("long"))
-    measured = joined.select("pivot", "member", "size", "pivot_size", "set", "pivot_set").mapInArrow(run, "pivot long, member long, size long, pivot_size long, set binary, shared long")
+    measured = joined.select("pivot", "center", "member", "size", "pivot_size", "set", "pivot_set").mapInArrow(run, "pivot long, center long, member long, size long, pivot_size long, set binary, shared long")
     union = F.col("size") + F.col("pivot_size") - F.col("shared")
     measured = scratch.save(measured.withColumn("distance", 1 - F.col("shared") / union).withColumn("near", DEN * F.col("shared") >= NUM * union), "heavy")
-    near = measured.where("near and pivot <> member").select(F.col("pivot").alias("src"), F.col("member").alias("dst"))
+    near = measured.where("near and center <> member").select(F.col("center").alias("src"), F.col("member").alias("dst"))
     # a linked member can bridge to one that isn't only if its distance lies in that one's window
     edge = measured.where("not near").groupBy("pivot").agg(F.min("distance").alias("least"))
     rest = measured.join(edge, "pivot").where(F.col("distance") >= F.col("least") - WINDOW - 1e-9)
@@ -322,9 +363,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     signed = scratch.save(signatures(texts, frequent_shingles(known)), "signatures")
     linked = signed.where("n > 0 and doc_id is not null")
     nodes = scratch.save(linked.groupBy("node").agg(F.max("n").alias("n"), F.min("doc_id").alias("doc_id"), F.min_by("prefix", "doc_id").alias("prefix")), "nodes")
-    regions = scratch.save(elect(nodes.select(F.explode("prefix").alias("s"), "n", "node")), "regions")
+    regions = scratch.save(regions_of(nodes, scratch), "regions")
     scratch.release()
-    regions = regions.unionByName(regions.select("pivot", F.col("pivot").alias("member")).distinct())
     members = regions.select(F.col("member").alias("node")).distinct()
     ids = scratch.save(nodes.join(members, "node", "left_semi").select("doc_id", "node"), "ids")
     small = ids.count() <= BROADCAST_IDS
