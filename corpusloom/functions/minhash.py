@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED, PRIME, TOP = 42, 2**61 - 1, 2**32 - 1
@@ -20,32 +21,34 @@ def hash_family(num_perm: int, seed: int = SEED) -> tuple[tuple[int, ...], tuple
     return tuple(a for a, _ in pairs), tuple(b for _, b in pairs)
 
 
-def signature(hashes: Column, num_perm: int = 128) -> Column:
-    """Least value of every permutation over an array of 32-bit hashes; all ones of 32 bits if it's empty.
+def signatures(hashed: DataFrame, num_perm: int = 128) -> DataFrame:
+    """(uid, signature) from (uid, array of 32-bit hashes): the least value of every permutation; all ones of 32 bits if there's no hash.
 
-    Unsigned 64-bit products wrap, which Spark's arithmetic doesn't; NumPy works on one Arrow batch, a permutation at a time
-    over all its documents.
+    Unsigned 64-bit products wrap, which Spark's arithmetic doesn't; NumPy works on an Arrow batch, a permutation at a time over
+    all its documents. A plan node of its own, so that Spark can't draw it into other expressions.
     """
     a, b = (np.array(x, np.uint64) for x in hash_family(num_perm))
 
-    @F.pandas_udf("array<long>")
-    def sign(batch: pd.Series) -> pd.Series:
-        out = np.full((len(batch), num_perm), TOP, np.uint64)
-        sizes = np.array([0 if x is None else len(x) for x in batch])
-        full = np.flatnonzero(sizes)
-        if len(full):
-            h = np.concatenate([np.asarray(batch.iloc[i], np.int64) for i in full]).astype(np.uint64)
-            begin = np.cumsum(sizes[full]) - sizes[full]
-            for k in range(num_perm):
-                out[full, k] = np.minimum.reduceat((h * a[k] + b[k]) % np.uint64(PRIME) & np.uint64(TOP), begin)
-        return pd.Series(list(out.astype(np.int64)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            sizes = np.diff(lists.offsets.to_numpy())
+            out = np.full((len(lists), num_perm), TOP, np.uint64)
+            full = np.flatnonzero(sizes)
+            if len(full):
+                h = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
+                begin = np.cumsum(sizes[full]) - sizes[full]
+                for k in range(num_perm):
+                    out[full, k] = np.minimum.reduceat((h * a[k] + b[k]) % np.uint64(PRIME) & np.uint64(TOP), begin)
+            flat = pa.array(out.astype(np.int64).ravel())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * num_perm), flat)], names=["uid", "signature"])
 
-    return sign(hashes)
+    return hashed.mapInArrow(run, "uid long, signature array<long>")
 
 
 def bands(signature_: str, b: int, r: int) -> Column:
     """An array of (band, key)."""
-    return F.transform(F.sequence(F.lit(0), F.lit(b - 1)), lambda i: F.struct(i.alias("band"), F.slice(F.col(signature_), i * r + 1, r).alias("key")))
+    return F.array(*(F.struct(F.lit(i).alias("band"), F.slice(signature_, i * r + 1, r).alias("key")) for i in range(b)))
 
 
 def band_parameters(threshold: float, num_perm: int, weight_fp: float = 0.5, weight_fn: float = 0.5) -> tuple[int, int]:

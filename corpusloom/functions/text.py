@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 import pandas as pd
@@ -36,16 +37,20 @@ def normalize(text: Column, split_ideographs: bool = False, unicode_form: bool =
     return F.regexp_replace(_nfkc()(lower) if unicode_form else lower, SEPARATORS_SPLIT if split_ideographs else SEPARATORS, " ")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once: a lambda's variable can't be replaced by its expression, as a column can."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def tokens(content: Column) -> Column:
     """Split at single non-word characters; empty tokens stay."""
     return F.split(content, NON_WORD, -1)
 
 
-def shingles(tokens_: str, n: int, min_length: int) -> Column:
+def shingles(tokens_: Column, n: int, min_length: int) -> Column:
     """Distinct n-grams joined by spaces; one gram of all tokens if there are fewer than n, none below ``min_length``."""
-    t = F.col(tokens_)
-    slide = F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(t, i, n), " "))
-    return F.when(F.size(t) < min_length, F.array().cast("array<string>")).otherwise(F.array_distinct(slide))
+    slide = lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(t, i, n), " "))
+    return let(tokens_, lambda t: F.when(F.size(t) < min_length, F.array().cast("array<string>")).otherwise(F.array_distinct(slide(t))))
 
 
 def hash32(text: Column) -> Column:

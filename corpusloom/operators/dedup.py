@@ -40,16 +40,15 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text_column: str = "text")
 
 def hashed_shingles(docs: DataFrame, config: DedupConfig, key: str = "doc_id") -> DataFrame:
     """uid, hashes of the distinct shingles."""
-    cut = docs.select(F.col(key).alias("uid"), text.tokens(text.normalize(F.col("text"), config.split_ideographs, config.unicode_form)).alias("tokens"))
-    cut = cut.select("uid", text.shingles("tokens", config.ngram, config.min_length).alias("shingles"))
-    return cut.select("uid", F.transform("shingles", text.hash32).alias("hashes"))
+    tokens = text.tokens(text.normalize(F.col("text"), config.split_ideographs, config.unicode_form))
+    return docs.select(F.col(key).alias("uid"), F.transform(text.shingles(tokens, config.ngram, config.min_length), text.hash32).alias("hashes"))
 
 
 def signatures(docs: DataFrame, config: DedupConfig, key: str = "doc_id") -> DataFrame:
     hashed = hashed_shingles(docs, config, key)
     if config.isolate_short:
         hashed = hashed.where(F.size("hashes") > 0)
-    return hashed.select("uid", minhash.signature(F.col("hashes"), config.num_perm).alias("signature"))
+    return minhash.signatures(hashed.select(F.col("uid").cast("long").alias("uid"), "hashes"), config.num_perm)
 
 
 def band_rows(signed: DataFrame, config: DedupConfig) -> DataFrame:

@@ -59,8 +59,7 @@ def token_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shingles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = _content(documents(spark, sf_dir)).select("doc_id", text.tokens(F.col("content")).alias("tokens"))
-    return cut.select("doc_id", F.size(text.shingles("tokens", 5, 2)).cast("long").alias("n_shingles"))
+    return _content(documents(spark, sf_dir)).select("doc_id", F.size(text.shingles(text.tokens(F.col("content")), 5, 2)).cast("long").alias("n_shingles"))
 
 
 def shingle_hash32(spark: SparkSession, sf_dir: str) -> DataFrame:
