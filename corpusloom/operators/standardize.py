@@ -38,7 +38,7 @@ def doc_id(source: str, order: Column, text: Column) -> Column:
     """SHA-256 of source, order, and the text's first and last ten characters."""
     t = F.coalesce(text, F.lit(""))
     tail = F.when(F.length(t) > 10, F.right(t, F.lit(10))).otherwise(t)
-    return F.sha2(F.concat(F.lit(source), order.cast("string"), F.substring(t, 1, 10), tail).cast("binary"), 256)
+    return F.coalesce(F.sha2(F.concat(F.lit(source), F.coalesce(order.cast("string"), F.lit("")), F.substring(t, 1, 10), tail).cast("binary"), 256), F.lit(""))
 
 
 def _written(df: DataFrame, name: str) -> Column:
@@ -57,8 +57,8 @@ def adapt(raw: DataFrame, name: str, order: Column, on_error: str = "fail") -> D
     bad = F.col("text").isNull() | (F.col("text") == "")
     if on_error == "quarantine":
         return raw.select("text", meta.alias("meta"), bad.alias("invalid"))
-    checked = F.when(bad, F.raise_error(F.lit("empty text"))).otherwise(F.col("text"))
-    return raw.select(checked.alias("text"), meta.alias("meta")).to(T.StructType([T.StructField("text", _S, True), T.StructField("meta", META, True)]))
+    checked = F.coalesce(F.when(bad, F.raise_error(F.lit("empty text")).cast("string")).otherwise(F.col("text")), F.lit(""))
+    return raw.select(checked.alias("text"), meta.alias("meta"))
 
 
 def invalid(documents: DataFrame) -> Column:
