@@ -34,6 +34,8 @@ PATTERNS = {
 REACH, SUPPORT, DISCLOSURE, REMOVAL = 64, 2, 0.8, 0.95
 #: Terms that may be broadcast (under 100 bytes each); beyond that the join shuffles.
 BROADCAST_TERMS = 200_000
+#: Copied texts whose counts may be broadcast (16 bytes each).
+BROADCAST_COPIES = 1_000_000
 _WORD = r"[\p{L}\p{N}]+"
 _KEY = ["doc_id", "text_hash"]
 
@@ -118,8 +120,13 @@ def disclosing(docs: DataFrame, found: DataFrame, context: DataFrame, scratch: S
     terms = pairs.select("term").distinct()
     few = F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms
     text = F.coalesce(F.col("text"), F.lit(""))
-    spoken = docs.select(F.xxhash64(text).alias("text_hash"), F.explode(F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))).alias("term"))
-    heard = spoken.join(few, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    # each of c copies of a text counts 1 / c, so that sums in partitions do for counts of distinct texts
+    copies = scratch.save(found.groupBy("text_hash").agg(F.count("*").alias("c")).where("c > 1").withColumnRenamed("text_hash", "copied"), "copies")
+    if copies.count() <= BROADCAST_COPIES:
+        copies = F.broadcast(copies)
+    weighed = docs.select(text.alias("text"), F.xxhash64(text).alias("text_hash")).join(copies, F.col("text_hash") == F.col("copied"), "left").select("text", (1 / F.coalesce("c", F.lit(1))).alias("weight"))
+    spoken = weighed.select("weight", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term"))
+    heard = spoken.join(few, "term", "left_semi").groupBy("term").agg(F.round(F.sum("weight")).alias("n_t"))
     n = found.select("text_hash").distinct().count()
     information = F.log2(F.lit(float(max(n, 1))) / F.col("n_c"))
     pmi = F.log2(F.lit(float(max(n, 1))) * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))
