@@ -4,14 +4,17 @@ A revisit is resolved by an as-of join: the latest full response of the same can
 revisit's validator must agree with the response's: the entity tag by weak comparison, or, where the revisit has none,
 Last-Modified. The merged record has the response's headers, updated with those of the revisit that a 304 may change.
 
-The join never gathers a URL's captures: times are cut into buckets of about equal numbers of records at approximate quantiles,
-so that no group of (URL, bucket) exceeds a bucket; within it a window finds the latest response, and only where there's none
-is the last one of an earlier bucket taken, from a table of one row for each URL and bucket. Payloads don't travel; results name the response.
+No task gathers a URL's captures. Records of one URL and time first become one point: its latest response, and whether a revisit
+asks there. Times are then cut by ``DIGIT_BITS`` binary digits a level, so a window over the times of one URL and higher digits
+holds 2^DIGIT_BITS points at most, whatever the data. Where a window has no earlier response, the last one of an earlier window
+comes from the next level, whose points are these windows; the span of times sets the number of levels. Payloads don't travel;
+results name the response.
 
 Status: ``resolved``, ``mismatch`` (validators differ), ``no_validator`` (nothing to check on either side), ``no_response``.
 
 Defined cases: null urls match nothing; null times resolve to ``no_response``; of responses at one time the largest record_id is the
-latest; repeated rows are resolved each for itself; null headers count as none; other columns are ignored; an empty table gives no rows.
+latest; repeated rows are resolved each for itself; null headers count as none, and of header
+names that differ in case only the last stays; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.scratch import Scratch
 
-BUCKETS = 64
+#: Binary digits of time that a window spans.
+DIGIT_BITS = 16
 #: Headers that describe the stored payload: a 304 may not change them (fixed values).
 PAYLOAD_HEADERS = ["content-encoding", "content-length", "content-range", "content-type", "transfer-encoding"]
 #: Query parameters that don't choose a resource (fixed values).
@@ -46,7 +50,27 @@ def weak(tag: Column) -> Column:
 
 
 def lowered(headers: Column) -> Column:
-    return F.coalesce(F.transform_keys(headers, lambda k, v: F.lower(k)), F.create_map().cast("map<string,string>"))
+    """Headers by lower-case name; of names that differ in case only the last stays."""
+    pairs = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    last = F.filter(pairs, lambda e, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda o: o["key"] == e["key"]))
+    return F.coalesce(F.map_from_entries(last), F.create_map().cast("map<string,string>"))
+
+
+def earlier_responses(points: DataFrame, levels: int, scratch: Scratch) -> DataFrame:
+    """(canonical_url, ts, r) of the asked points: ``r`` is the response of the last point before them that has one, or null.
+
+    ``points``: canonical_url, ts, response (a struct or null), asked; one row for each URL and time.
+    """
+    window = F.shiftright("ts", DIGIT_BITS)
+    group = ["canonical_url", window] if levels > 1 else ["canonical_url"]
+    before = Window.partitionBy(*group).orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    near = points.withColumn("r", F.last("response", ignorenulls=True).over(before))
+    if levels == 1:
+        return near.where("asked").select("canonical_url", "ts", "r")
+    near = scratch.save(near.where("asked").select("canonical_url", "ts", "r"), f"near-{levels}")
+    lasts = points.groupBy("canonical_url", window.alias("ts")).agg(F.max_by("response", F.when(F.col("response").isNotNull(), F.col("ts"))).alias("response"), F.max("asked").alias("asked"))
+    far = earlier_responses(lasts, levels - 1, scratch).where("r is not null").select("canonical_url", F.col("ts").alias("window"), F.col("r").alias("far"))
+    return near.withColumn("window", window).join(far, ["canonical_url", "window"], "left").select("canonical_url", "ts", F.coalesce("r", "far").alias("r"))
 
 
 def resolve(records: DataFrame, scratch: Scratch) -> DataFrame:
@@ -56,19 +80,13 @@ def resolve(records: DataFrame, scratch: Scratch) -> DataFrame:
     """
     slim = records.select(F.col("record_id").cast("long").alias("record_id"), F.col("ts").cast("long").alias("ts"), canonical(F.col("url")).alias("canonical_url"), "kind", weak(F.col("etag")).alias("etag"), "last_modified", lowered(F.col("headers")).alias("headers")).where(F.col("kind").isin("response", "revisit"))
     slim = scratch.save(slim, "records")
-    cuts = slim.agg(F.percentile_approx("ts", [i / BUCKETS for i in range(1, BUCKETS)], 10_000)).first()[0] or []  # BUCKETS numbers
-    bucket = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))).cast("array<long>"), lambda c: c <= F.col("ts"))) if cuts else F.lit(0)
-    dealt = slim.withColumn("bucket", bucket)
-    seen = F.struct(F.col("ts").alias("at"), "record_id", "etag", "last_modified", "headers")
-    response = F.when((F.col("kind") == "response") & F.col("ts").isNotNull() & F.col("canonical_url").isNotNull(), seen)
-    # a revisit comes before responses of its own time
-    order = Window.partitionBy("canonical_url", "bucket").orderBy("ts", F.when(F.col("kind") == "revisit", 0).otherwise(1), "record_id")
-    placed = dealt.withColumn("near", F.last(response, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))).where("kind = 'revisit'")
-    lasts = dealt.select("canonical_url", "bucket", response.alias("r")).where("r is not null").groupBy("canonical_url", "bucket").agg(F.max_by("r", F.struct("r.at", "r.record_id")).alias("last"))
-    asked = dealt.where("kind = 'revisit' and canonical_url is not null").select("canonical_url", "bucket").distinct()
-    by_url = Window.partitionBy("canonical_url").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # BUCKETS rows at most
-    carried = asked.join(lasts, ["canonical_url", "bucket"], "full").withColumn("far", F.last("last", ignorenulls=True).over(by_url)).where("far is not null").select("canonical_url", "bucket", "far")
-    found = placed.join(carried, ["canonical_url", "bucket"], "left").withColumn("r", F.when(F.col("ts").isNotNull(), F.coalesce("near", "far")))
+    first, last = slim.agg(F.min("ts"), F.max("ts")).first()
+    levels = 1
+    while first is not None and (last >> DIGIT_BITS * (levels - 1)) - (first >> DIGIT_BITS * (levels - 1)) >= 1 << DIGIT_BITS:
+        levels += 1
+    response = F.when(F.col("kind") == "response", F.struct("record_id", "etag", "last_modified", "headers"))
+    points = slim.where("ts is not null and canonical_url is not null").groupBy("canonical_url", "ts").agg(F.max_by(response, F.when(F.col("kind") == "response", F.struct("record_id"))).alias("response"), F.max(F.col("kind") == "revisit").alias("asked"))
+    found = slim.where("kind = 'revisit'").join(earlier_responses(scratch.save(points, "points"), levels, scratch), ["canonical_url", "ts"], "left")
     by_tag, by_date = F.col("etag").isNotNull() & F.col("r.etag").isNotNull(), F.col("last_modified").isNotNull() & F.col("r.last_modified").isNotNull()
     agrees = F.when(by_tag, F.col("etag") == F.col("r.etag")).when(by_date & F.col("etag").isNull(), F.col("last_modified") == F.col("r.last_modified"))
     status = F.when(F.col("r").isNull(), "no_response").when(agrees.isNull(), "no_validator").when(agrees, "resolved").otherwise("mismatch")

@@ -163,9 +163,11 @@ def test_disclosure(spark, docs):
     assert clean[2] == frame.where("doc_id = 2").first()["text"]
 
 
-def test_revisits(spark):
+@pytest.mark.parametrize("bits", [16, 2])
+def test_revisits(spark, bits, monkeypatch):
+    monkeypatch.setattr(revisits, "DIGIT_BITS", bits)
     rows = [
-        (1, 10, "http://www.A.com:80/p/?utm_x=1#f", "response", '"e1"', None, {"ETag": '"e1"', "Content-Length": "5", "Age": "1"}),
+        (1, 10, "http://www.A.com:80/p/?utm_x=1#f", "response", '"e1"', None, {"ETag": '"e1"', "Content-Length": "5", "age": "0", "Age": "1"}),
         (2, 20, "https://a.com/p", "revisit", 'W/"e1"', None, {"age": "9", "content-length": "0"}),
         (3, 20, "https://a.com/p", "response", '"e2"', None, None),
         (4, 30, "https://a.com/p", "revisit", '"e1"', None, None),
@@ -178,3 +180,24 @@ def test_revisits(spark):
     got = {r["record_id"]: (r["response_id"], r["status"], r["headers"]) for r in revisits.resolve(frame, Scratch(spark, "t")).collect()}
     assert got[2] == (1, "resolved", {"etag": '"e1"', "content-length": "5", "age": "9"})
     assert {k: v[:2] for k, v in got.items() if k != 2} == {4: (3, "mismatch"), 5: (None, "no_response"), 6: (None, "no_response"), 7: (None, "no_response"), 8: (3, "no_validator")}
+
+
+@pytest.mark.parametrize("bits", [16, 3])
+def test_revisits_against_brute_force(spark, bits, monkeypatch):
+    """Random captures with ties, repeated rows and times on both sides of zero."""
+    monkeypatch.setattr(revisits, "DIGIT_BITS", bits)
+    rng = np.random.default_rng(5)
+    spread = [int(t) for t in rng.integers(-300, 300, 240)]
+    if bits == 16:
+        spread[:4] = [-(2**63), 2**63 - 1, 0, -1]
+    rows = [(i, t, f"http://h.com/{rng.integers(4)}", "response" if rng.integers(2) else "revisit", str(rng.integers(2)), None, None) for i, t in enumerate(spread)]
+    rows += rows[:20]
+    frame = spark.createDataFrame(rows, "record_id long, ts long, url string, kind string, etag string, last_modified string, headers map<string,string>").withColumn("extra", revisits.F.lit(1))
+    want = []
+    for i, ts, url, kind, etag, *_ in rows:
+        if kind == "revisit":
+            full = max(((r[1], r[0], r[4]) for r in rows if r[2] == url and r[3] == "response" and r[1] < ts), default=None)
+            want.append((i, full and full[1], "no_response" if full is None else "resolved" if full[2] == etag else "mismatch"))
+    got = [(r["record_id"], r["response_id"], r["status"]) for r in revisits.resolve(frame, Scratch(spark, "t")).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert revisits.resolve(frame.limit(0), Scratch(spark, "t")).count() == 0
