@@ -1,13 +1,13 @@
 """Operator 5: benchmark decontamination by size-partitioned MinHash containment search, with exact verification.
 
 A short item inside a long document has a tiny Jaccard similarity, so sketches must grow with the document: documents fall into
-partitions by size, the p-th holding those of up to 2 ** (p - 1) shingles, and a document of partition p has a one-permutation
+partitions by size, each of twice the shingles of the one before, and a document of partition p has a one-permutation
 MinHash sketch of 2 ** p bins (the leading p bits of a shingle's hash choose its bin; the bin keeps its least hash). A
-partition thus has at least two bins for each shingle. An item collides with a document if they have a bin's minimum in common at the
-document's resolution. A minimum of an item in 2 ** p bins is one in all finer sketches too, so the item's sketches
+document thus has at least 2 ** FINE bins for each of its shingles. An item collides with a document if they have a bin's minimum in common at
+the document's resolution. A minimum of an item in 2 ** p bins is one in all finer sketches too, so the item's sketches
 for all partitions are one table of (hash, item, coarsest p). A shared shingle collides unless another shingle of the document is
-below it in its bin, which has a chance under 0.4; an item that shares m shingles is missed with a chance of about 0.25 ** m or less, below
-1e-5 for the nine shingles that an item of fifteen words must share.
+below it in its bin, which has a chance under 2 ** -FINE; an item that shares m shingles is missed with a chance below 2 ** (-FINE * m), which
+is 0.002 for an item of one shingle and 2e-11 for four, as an item of nine words must share.
 
 Candidates are then verified: the share of the item's distinct shingles that the document has must be 0.8 or more, counted on the
 shingles' words, not on hashes. Words are runs of letters and digits, lower-cased; shingles have five words, and items of fewer
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from corpusloom.scratch import Scratch
 
 SHINGLE, NUM, DEN = 5, 80, 100
+#: Bits by which a document's bins exceed its shingles: with many bins a lone shared shingle is hardly ever hidden by another of its bin.
+FINE = 9
 #: Rows that may be broadcast: item shingles (about 100 bytes each) and ids of documents (16 bytes each).
 BROADCAST_SHINGLES, BROADCAST_DOCS = 500_000, 1_000_000
 
@@ -63,7 +65,7 @@ def minima(docs: DataFrame, n: int) -> DataFrame:
     hashed = hashed.select("doc_id", "text_hash", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     sorted_ = hashed.select("doc_id", "text_hash", F.sort_array(shingle_hashes("hashes", n)).alias("s"))
     # no filter on these arrays: Spark would push it below and compute them anew for each element
-    sized = sorted_.select("doc_id", "text_hash", "s", (bits((F.size("s") - 1).cast("long")) + 1).cast("int").alias("p"))
+    sized = sorted_.select("doc_id", "text_hash", "s", (bits((F.size("s") - 1).cast("long")) + FINE).cast("int").alias("p"))
     first = F.filter("s", lambda x, i: (i == 0) | (bin_of(x, F.col("p")) != bin_of(F.get(F.col("s"), F.greatest(i - 1, F.lit(0))), F.col("p"))))
     return sized.select("doc_id", "text_hash", "p", F.explode(first).alias("h"))
 
