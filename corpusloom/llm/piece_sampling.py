@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from corpusloom.llm.texts import bounded_batches, id_and_text
 
 ALPHA, SEED = 1.0, 20_240_229
-#: Units whose lattices a worker keeps, units sampled at once, and the longest unit that is kept.
-CACHE_UNITS, BLOCK_UNITS, CACHE_CHARS = 300_000, 60_000, 40
+#: Units whose lattices a worker keeps, units sampled at once, the longest unit that is kept, and cells of lattices filled at once.
+CACHE_UNITS, BLOCK_UNITS, CACHE_CHARS, LATTICE_CELLS = 300_000, 60_000, 40, 400_000
 _MARK, _CUT = "\ud800", "\ud801"  # can't occur in a text: U+2581 itself, and a border of units
 HASH_BASE = 0x100000001B3
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
@@ -56,7 +56,9 @@ class Growing:
     def extend(self, values: np.ndarray | list) -> None:
         need = self.n + len(values)
         if need > len(self.a):
-            self.a = np.concatenate([self.a, np.zeros(max(need, 2 * len(self.a)) - len(self.a), self.a.dtype)])
+            grown = np.empty(max(need, 2 * len(self.a)), self.a.dtype)  # memory beyond n isn't touched before it's used
+            grown[: self.n] = self.a[: self.n]
+            self.a = grown
         self.a[self.n : need] = values
         self.n = need
 
@@ -238,8 +240,9 @@ class PieceSampler:
             upto = at
             while upto < len(plain) and len(plain[upto]) <= width:
                 upto += 1
-            for i in range(at, upto, 2048):
-                self._add_alike(plain[i : min(upto, i + 2048)], width)
+            step = min(2048, LATTICE_CELLS // width**2)
+            for i in range(at, upto, step):
+                self._add_alike(plain[i : min(upto, i + step)], width)
             at = upto
 
     def sample(self, units: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
