@@ -142,6 +142,14 @@ def test_decontamination(spark, docs):
     assert decontamination.contaminated(docs, items.limit(0), Scratch(spark, "t")).count() == 0
 
 
+def test_decontamination_finds_items_of_one_shingle_in_long_documents(spark):
+    items = [" ".join(f"k{i}x{j}" for j in range(5)) for i in range(20)]
+    frame = spark.createDataFrame([(i, f"{LONG} {item} {LONG}") for i, item in enumerate(items)], "doc_id long, text string")
+    known = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["n_item"], r["n_shared"]) for r in decontamination.contaminated(frame, known, Scratch(spark, "t")).collect()}
+    assert got == {(i, i, 1, 1) for i in range(20)}
+
+
 def test_line_dedup(spark, docs):
     a, b, c = ("x" * 200, "y" * 90, "z" * 90)
     texts = [f"{a}\n{b}\n{c}", f"{a}\nown\n{b}", f"new\n{b}\n\n{c}\nend", f"{b}", None, "", f"{a}\n{a}"]
