@@ -4,11 +4,12 @@ Base spans are e-mail addresses, IP addresses, card and phone numbers, found by
 A corpus-wide estimate then tells which words near an entity give it away: with N distinct texts, n(c) of them holding
 entity c, n(t) holding term t, and n(c, t) holding t within ``REACH`` characters of c,
 
-    PMI(c; t) = log2(N n(c, t) / (n(c) n(t))),    IC(c) = log2(N / n(c)),
+    P(c | t) = (n(c, t) + n(c) / N) / (n(t) + 1),    PMI(c; t) = log2(P(c | t) N / n(c)),    IC(c) = log2(N / n(c)),
 
-and the share PMI / IC of c's information that t discloses is 1 if t occurs only beside c. Where it reaches ``DISCLOSURE``, with at
-least ``SUPPORT`` distinct texts behind n(c, t), the occurrences of t near c become spans of kind ``term``: removed if the share
-reaches ``REMOVAL``, else generalised. Distinct texts count once, so that copies aren't evidence.
+and the share PMI / IC of c's information that t discloses nears 1 if t occurs only beside c. P is smoothed by one text at c's own
+rate: every pair that was seen is scored, those of a single text too, and more texts say more. Where the share reaches ``DISCLOSURE``,
+the occurrences of t near c become spans of kind ``term``: removed if the share reaches ``REMOVAL``, else generalised. Distinct texts
+count once, so that copies aren't evidence.
 
 All of it is DataFrame functions. Patterns run only on texts that hold their necessary characters, are possessive and begin where a
 run of their characters begins, which keeps them linear in the text.
@@ -31,7 +32,7 @@ PATTERNS = {
     "card": (r"[0-9](?:[\x20-]?[0-9])++", "[0-9]"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
 }
-REACH, SUPPORT, DISCLOSURE, REMOVAL = 64, 2, 0.8, 0.95
+REACH, DISCLOSURE, REMOVAL = 64, 0.8, 0.95
 #: Terms that may be broadcast (under 100 bytes each); beyond that the join shuffles.
 BROADCAST_TERMS = 200_000
 #: Copied texts whose counts may be broadcast (16 bytes each).
@@ -114,7 +115,7 @@ def context_terms(found: DataFrame) -> DataFrame:
 
 def disclosing(docs: DataFrame, found: DataFrame, context: DataFrame, scratch: Scratch) -> DataFrame:
     """entity, term, share of the pairs whose share reaches DISCLOSURE."""
-    pairs = context.select("entity", "term", "text_hash").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= SUPPORT)
+    pairs = context.select("entity", "term", "text_hash").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_ct"))
     pairs = scratch.save(pairs, "pairs")
     entities = context.select("entity", "text_hash").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
     terms = pairs.select("term").distinct()
@@ -128,8 +129,9 @@ def disclosing(docs: DataFrame, found: DataFrame, context: DataFrame, scratch: S
     spoken = weighed.select("weight", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term"))
     heard = spoken.join(few, "term", "left_semi").groupBy("term").agg(F.round(F.sum("weight")).alias("n_t"))
     n = found.select("text_hash").distinct().count()
-    information = F.log2(F.lit(float(max(n, 1))) / F.col("n_c"))
-    pmi = F.log2(F.lit(float(max(n, 1))) * F.col("n_ct") / (F.col("n_c") * F.col("n_t")))
+    rate = F.col("n_c") / F.lit(float(max(n, 1)))
+    information = -F.log2(rate)
+    pmi = F.log2((F.col("n_ct") + rate) / (F.col("n_t") + 1) / rate)
     scored = pairs.join(entities, "entity").join(heard, "term").where(information > 0).withColumn("share", pmi / information)
     return scratch.save(scored.where(F.col("share") >= DISCLOSURE).select("entity", "term", "share"), "disclosing")
 

@@ -171,6 +171,14 @@ def test_disclosure(spark, docs):
     assert clean[2] == frame.where("doc_id = 2").first()["text"]
 
 
+def test_disclosure_of_an_entity_in_one_text(spark):
+    texts = ["write to onlyname at solo@mail.example.com or to the others", *(f"write to the others at home or at {i}" for i in range(60))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in disclosure.sanitise(frame, Scratch(spark, "t")).collect()}
+    assert clean[0] == "write to [TERM] at [EMAIL] or to the others"
+    assert [clean[i] for i in range(1, 61)] == texts[1:]
+
+
 @pytest.mark.parametrize("bits", [16, 2])
 def test_revisits(spark, bits, monkeypatch):
     monkeypatch.setattr(revisits, "DIGIT_BITS", bits)
