@@ -179,6 +179,26 @@ def test_disclosure_of_an_entity_in_one_text(spark):
     assert [clean[i] for i in range(1, 61)] == texts[1:]
 
 
+def test_disclosure_far_from_the_entity(spark):
+    common = " ".join(["the others write home again"] * 12)
+    texts = [f"Farname: {common} solo@mail.example.com {common} FARNAME", *(f"{common} {i}" for i in range(60))]
+    frame = spark.createDataFrame([*enumerate(texts), (61, texts[0])], "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in disclosure.sanitise(frame, Scratch(spark, "t")).collect()}
+    assert clean[0] == clean[61] == f"[TERM]: {common} [EMAIL] {common} [TERM]"
+    assert [clean[i] for i in range(1, 61)] == texts[1:]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_disclosure_against_brute_force(spark, seed):
+    """Terms of random texts, some copied, with entities in one text or several."""
+    rng = np.random.default_rng(seed)
+    texts = [" ".join([*(f"w{k}" for k in rng.zipf(1.4, 30)), *(f"u{k}@mail.example.com" for k in rng.zipf(1.6, rng.integers(0, 3)))]) for _ in range(150)]
+    texts += texts[:9]
+    got = {r["doc_id"]: r["spans"] for r in disclosure.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), Scratch(spark, "t")).collect()}
+    assert got == {i: brute.disclosed(texts, t) for i, t in enumerate(texts)}
+    assert sum("term" in x for x in got.values()) > 20
+
+
 @pytest.mark.parametrize("bits", [16, 2])
 def test_revisits(spark, bits, monkeypatch):
     monkeypatch.setattr(revisits, "DIGIT_BITS", bits)
