@@ -7,7 +7,7 @@ import time
 from corpusloom.plans.queries import queries
 from corpusloom.session import build_session
 
-NAMES = ["exact_dedup", "filter_all", "token_total", "token_total_body", "standardize_fineweb", "minhash_signature", "candidate_edges", "near_dedup_kept"]
+NAMES = ["exact_dedup", "filter_all", "token_total", "token_total_body", "standardize_fineweb", "minhash_signature_8x16", "candidate_edges", "near_dedup_kept_8x16"]
 
 
 def main() -> None:

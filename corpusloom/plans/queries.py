@@ -67,23 +67,26 @@ def shingle_hash32(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("uid").alias("doc_id"), F.array_min("hashes").alias("least"), F.aggregate("hashes", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
 
 
-def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.signatures(documents(spark, sf_dir), SMALL).select(F.col("uid").alias("doc_id"), F.posexplode("signature").alias("perm", "value"))
+def _signature(config: dedup.DedupConfig) -> Query:
+    return lambda spark, sf_dir: dedup.signatures(documents(spark, sf_dir), config).select(F.col("uid").alias("doc_id"), F.posexplode("signature").alias("perm", "value"))
 
 
-def lsh_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dedup.band_rows(dedup.signatures(documents(spark, sf_dir), SMALL), SMALL)
-    return rows.select(F.col("uid").alias("doc_id"), "band", F.array_join(F.transform("key", lambda x: x.cast("string")), ",").alias("key"))
+def _bands(config: dedup.DedupConfig) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = dedup.band_rows(dedup.signatures(documents(spark, sf_dir), config), config)
+        return rows.select(F.col("uid").alias("doc_id"), "band", F.array_join(F.transform("key", lambda x: x.cast("string")), ",").alias("key"))
+
+    return run
 
 
 def _edges(config: dedup.DedupConfig) -> Query:
     return lambda spark, sf_dir: dedup.candidate_edges(dedup.band_rows(dedup.signatures(dedup.exact_dedup(documents(spark, sf_dir)), config), config))
 
 
-def _near(part: str) -> Query:
+def _near(part: str, config: dedup.DedupConfig) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = documents(spark, sf_dir)
-        found = dedup.near_dedup(docs, SMALL, Scratch(spark, "near"))
+        found = dedup.near_dedup(docs, config, Scratch(spark, "near"))
         if part == "rate":
             return dedup.duplicate_rate(docs, found.dup)
         return found.components if part == "components" else getattr(found, part).select("doc_id")
@@ -166,9 +169,13 @@ def lsh_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    plain = (scan_nonempty, exact_dedup, normalize_text, token_arrays, shingles, shingle_hash32, minhash_signature, lsh_bands, filter_length, filter_lines, filter_score, filter_all, keep_ratio, validate_report, route_adapter, partition_plan, token_total, token_total_body, body_lines, sample_ordered, resolve_text_column, lsh_params)
+    plain = (scan_nonempty, exact_dedup, normalize_text, token_arrays, shingles, shingle_hash32, filter_length, filter_lines, filter_score, filter_all, keep_ratio, validate_report, route_adapter, partition_plan, token_total, token_total_body, body_lines, sample_ordered, resolve_text_column, lsh_params)
     found: dict[str, Query] = {f.__name__: f for f in plain}
-    found |= {"candidate_edges": _edges(DEFAULT), "candidate_edges_8x4": _edges(SMALL), "wcc_components": _near("components"), "near_dedup_kept": _near("result"), "near_dedup_dropped": _near("dup"), "duplicate_rate": _near("rate")}
+    found |= {"candidate_edges": _edges(DEFAULT), "candidate_edges_8x4": _edges(SMALL)}
+    # by 32 permutations, as the SQL of these names states them, and (_8x16) by the reference's defaults
+    for end, config in (("", SMALL), ("_8x16", DEFAULT)):
+        found |= {f"minhash_signature{end}": _signature(config), f"lsh_bands{end}": _bands(config)}
+        found |= {f"{name}{end}": _near(part, config) for name, part in (("wcc_components", "components"), ("near_dedup_kept", "result"), ("near_dedup_dropped", "dup"), ("duplicate_rate", "rate"))}
     return found | {f"standardize_{name}": _standardize(name) for name in standardize.ADAPTERS}
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import minhash, text
 from corpusloom.operators import dedup, filters, graph, standardize, tokens
+from corpusloom.plans.queries import queries
 from corpusloom.scratch import Scratch
 from corpusloom.sources import io
 
@@ -81,6 +82,25 @@ def test_near_dedup_partitions(spark):
     assert dedup.duplicate_rate(rows.limit(0), found.dup.limit(0)).first()["rate"] is None
 
 
+def test_registered_near_dedup_by_the_defaults(spark, tmp_path):
+    """Texts that share two thirds of their shingles or fewer are different documents; brute force over all pairs."""
+    rng = random.Random(5)
+    texts = {}
+    for k in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        cut = rng.randrange(100, 160)
+        texts |= {3 * k: " ".join(words), 3 * k + 1: " ".join([*words[:cut], *(f"w{rng.randrange(10**6)}" for _ in range(200 - cut))]), 3 * k + 2: " ".join([*words, "tail"])}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    grams = {i: {tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for i, t in texts.items()}
+    alike = {(a, b) for a in texts for b in texts if a < b and len(grams[a] & grams[b]) >= 0.85 * len(grams[a] | grams[b])}
+    found = queries()
+    assert {r[0] for r in found["near_dedup_dropped_8x16"](spark, str(tmp_path)).collect()} == {b for _, b in alike}
+    assert {r[0] for r in found["near_dedup_kept_8x16"](spark, str(tmp_path)).collect()} == set(texts) - {b for _, b in alike}
+    assert {(r["component"], r["vid"]) for r in found["wcc_components_8x16"](spark, str(tmp_path)).collect() if r["vid"] > r["component"]} == alike
+    assert found["duplicate_rate_8x16"](spark, str(tmp_path)).first()["num_dup"] == len(alike)
+    assert found["minhash_signature_8x16"](spark, str(tmp_path)).count() == 128 * len(texts)
+
+
 def test_standardize(spark):
     raw = spark.createDataFrame([("hello", 7, "u", None, "w")], "text string, n long, url string, previous_word_count long, warcinfo string")
     row = standardize.adapt(raw, "dclm", F.col("n")).first()
