@@ -25,7 +25,7 @@ NON_WORD = r"[^\p{L}\p{N}_]"
 def _nfkc():
     @F.pandas_udf("string")
     def nfkc(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+        return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
 
     return nfkc
 

@@ -13,9 +13,9 @@ from corpusloom.sources import io
 from corpusloom.scratch import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
-#: The documents are NFKC-stable, so the Arrow pass is left out except where a query is about it.
-SMALL = dedup.DedupConfig(num_perm=32, b=8, r=4, unicode_form=False)
-DEFAULT = dedup.DedupConfig(unicode_form=False)
+#: The SQL has no NFKC and is true of NFKC-stable documents, as the test tables' are.
+SMALL = dedup.DedupConfig(num_perm=32, b=8, r=4)
+DEFAULT = dedup.DedupConfig()
 TASKS = ["common_crawl-games", "dolma1_7-wiki-en", "finemath-3plus", "olmocr_science_pdfs-games", "stack_edu-Rust", "unknown-task"]
 SELECTOR_SQL = "'{\"line_id\":[' || array_to_string(list_transform(range(0, len(string_split(text, chr(10))), 2), lambda i: (i + 1)::varchar), ',') || ']}'"
 
@@ -39,7 +39,7 @@ def selected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _content(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", text.normalize(F.col("text"), unicode_form=False).alias("content"))
+    return docs.select("doc_id", text.normalize(F.col("text")).alias("content"))
 
 
 def scan_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +102,21 @@ def test_registered_near_dedup_by_the_defaults(spark, tmp_path):
     assert found["minhash_signature_8x16"](spark, str(tmp_path)).count() == 128 * len(texts)
 
 
+def test_registered_queries_apply_nfkc(spark, tmp_path):
+    """Copies that differ in form only: full-width letters, a ligature, decomposed marks."""
+    words = [f"wörd{i}" for i in range(40)]
+    plain = " ".join(["office", *words])
+    wide = " ".join(["o\ufb03ce", *words[:-1], "".join(chr(ord(c) + 0xFEE0) if c.isascii() else c for c in words[-1])])
+    apart = " ".join(["office", *(unicodedata.normalize("NFD", w) for w in words)])
+    spark.createDataFrame([(1, plain), (2, wide), (3, apart)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries()
+    for end in ("", "_8x16"):
+        assert sorted(r[0] for r in found[f"near_dedup_dropped{end}"](spark, str(tmp_path)).collect()) == [2, 3]
+    for name in ("token_arrays", "shingles", "shingle_hash32"):
+        assert len({tuple(r)[1:] for r in found[name](spark, str(tmp_path)).collect()}) == 1
+    assert found["candidate_edges"](spark, str(tmp_path)).count() == 2
+
+
 def test_standardize(spark):
     raw = spark.createDataFrame([("hello", 7, "u", None, "w")], "text string, n long, url string, previous_word_count long, warcinfo string")
     row = standardize.adapt(raw, "dclm", F.col("n")).first()
