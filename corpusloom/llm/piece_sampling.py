@@ -1,8 +1,8 @@
 """Operator 9: sampled SentencePiece encoding by forward filtering and backward sampling, and lossless decoding.
 
 A text is escaped as SentencePiece does (a space becomes U+2581, one is put in front) and falls into units: a space and the word
-after it, a line break and the characters after it, a stop or comma. The vocabulary's pieces used here don't cross unit
-borders, so the lattice over all segmentations is a chain of unit lattices. A piece of rank r weighs (r + 2) ** -ALPHA;
+after it, a line break, a stop or comma. There's no border between two characters that lie side by side in a piece, as in runs of spaces or
+``),``: no piece crosses a border, so the lattice over all segmentations is a chain of unit lattices. A piece of rank r weighs (r + 2) ** -ALPHA;
 a character without a piece is spelt in byte pieces. Forward filtering runs once for each distinct unit and leaves, for every
 position, the cumulative posterior of the pieces that end there. Backward sampling then walks all units of many texts at
 once from their ends. Its random numbers come from a counter-based generator keyed by the document's id, the unit's
@@ -76,7 +76,8 @@ class PieceSampler:
         self.weights: dict[str, tuple[int, float]] = {}
         self.byte_ids = [0] * 256
         self.bytes: list[bytes] = []
-        crossing = False
+        self.line_pieces = False
+        joined: dict[str, set[str]] = {c: set() for c in "▁.,\n"}  # what pieces have before these
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
             if m := _BYTE.fullmatch(piece) if sp.is_byte(i) else None:
@@ -84,11 +85,16 @@ class PieceSampler:
                 self.bytes.append(bytes([int(m[1], 16)]))
                 continue
             self.bytes.append(b"" if sp.is_control(i) or sp.is_unknown(i) else piece.replace("▁", " ").encode())
-            if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or "▁" in piece[1:] or "\n" in piece:
+            if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
                 continue
-            crossing |= len(piece) > 1 and (piece[-1] in ".," or piece[0] in ".,") and any(c.isalpha() for c in piece)
+            for a, b in zip(piece, piece[1:]):
+                if b in joined:
+                    joined[b].add(a)
+            self.line_pieces |= "\n" in piece
             self.weights[piece] = (i, (max(0.0, -sp.get_score(i)) + 2) ** -alpha)
-        self.split_marks = not crossing
+        self.before_space = sorted(joined["▁"])
+        kept = [f"(?<=[{''.join(map(re.escape, sorted(joined[c])))}]{_CUT})(?=[{c}])" for c in ".," if joined[c]]
+        self.no_border = re.compile(f"{_CUT}(?:{'|'.join(kept)})") if kept else None
         self.longest = max(map(len, self.weights))
         self.byte_weight = (sp.get_piece_size() + 2.0) ** -alpha
         self.decode_table = np.array(self.bytes, object)
@@ -135,10 +141,15 @@ class PieceSampler:
     def units(self, text: str) -> list[str]:
         if not text:
             return []
-        text = text.replace("▁", _MARK).replace(" ", f"{_CUT}▁").replace("\n", f"{_CUT}\n{_CUT}")
-        if self.split_marks:
-            text = text.replace(".", f"{_CUT}.").replace(",", f"{_CUT},")
-        return [u for u in f"▁{text}".split(_CUT) if u]
+        text = f" {text.replace('▁', _MARK)}".replace(" ", "▁").replace(".", f"{_CUT}.").replace(",", f"{_CUT},")
+        if self.no_border:
+            text = self.no_border.sub("", text)
+        text = text.replace("▁", f"{_CUT}▁")
+        for c in self.before_space:
+            text = text.replace(*((f"▁{_CUT}", "▁") if c == "▁" else (f"{c}{_CUT}▁", f"{c}▁")))
+        if not self.line_pieces:
+            text = text.replace("\n", f"{_CUT}\n{_CUT}")
+        return [u for u in text.split(_CUT) if u]
 
     def _append(self, sizes: np.ndarray, state: np.ndarray, cum: np.ndarray, prev: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Add units of so many states whose edges are in order of state (counted over these units); their first states."""

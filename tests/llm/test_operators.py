@@ -42,6 +42,31 @@ def test_pieces_are_lossless_and_reproducible(docs):
     assert sorted((r["doc_id"] or -1, r["ids_crc32"]) for r in rows) == sorted((r["doc_id"] or -1, r["ids_crc32"]) for r in again)
 
 
+def test_no_piece_crosses_a_border():
+    """Runs of spaces and marks are drawn as the whole text's lattice has it: counted by sums over all its segmentations."""
+    s = piece_sampling.PieceSampler(public_tokenizers.path("piece_bpe_32k.model"))
+    for text in ("f(x), (y). Wait... end", "  if x:\n    y = [1.5, '.'],  ../a", "a,b.c , d  . ▁,"):
+        assert "".join(s.units(text)) == "▁" + text.replace("▁", piece_sampling._MARK).replace(" ", "▁")
+        at, borders = 0, set()
+        for u in s.units(text):
+            borders.add(at := at + len(u))
+        whole = "".join(s.units(text))
+        assert not [p for p in s.weights for k in borders for a in range(max(0, k - len(p) + 1), k) if whole.startswith(p, a) and a + len(p) > k]
+    text, n = "x),  y", 40_000
+    got = [tuple(ids) for _, ids in s.encode(list(range(n)), [text] * n)]
+    names = {i: p for p, (i, _) in s.weights.items()}
+    whole = "▁x),▁▁y"
+
+    def ways(at):
+        return [((), 1.0)] if at == len(whole) else [((s.weights[p][0], *rest), s.weights[p][1] * w) for j in range(at + 1, len(whole) + 1) if (p := whole[at:j]) in s.weights for rest, w in ways(j)]
+
+    want = dict(ways(0))
+    total = sum(want.values())
+    assert {"),", "▁▁"} <= {names[i] for ids in want for i in ids}
+    for ids, w in want.items():
+        assert abs(got.count(ids) / n - w / total) < 0.012
+
+
 def test_piece_posterior():
     """Sampled segmentations of a unit occur as often as their weights say."""
     s = piece_sampling.PieceSampler(public_tokenizers.path("piece_bpe_32k.model"))
