@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,8 +47,15 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def release(self) -> None:
-        """Let Spark remove the shuffle files of plans that nothing refers to any more."""
+        """Let Spark remove the shuffle files of plans that nothing refers to any more, and executors hand back heap that they don't use.
+
+        A heap that has grown keeps memory that Python workers in the same container will need; a collection shrinks it.
+        """
         import gc
 
         gc.collect()
         self.spark._jvm.System.gc()
+        context = self.spark.sparkContext
+        if not context.master.startswith("local["):
+            n = context.defaultParallelism
+            self.spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')").alias("done")).write.format("noop").mode("overwrite").save()
