@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.texts import bounded_batches, id_and_text
+from corpusloom.llm.texts import bounded_batches, id_and_text, kept_by_worker
 
 ALPHA, SEED = 1.0, 20_240_229
-#: Units whose lattices a worker keeps, units sampled at once, the longest unit that is kept, and cells of lattices filled at once.
-CACHE_UNITS, BLOCK_UNITS, CACHE_CHARS, LATTICE_CELLS = 300_000, 60_000, 40, 400_000
+#: Units whose lattices a worker keeps, and their bytes; units sampled at once, the longest unit that is kept, and cells of lattices filled at once.
+CACHE_UNITS, CACHE_BYTES, BLOCK_UNITS, CACHE_CHARS, LATTICE_CELLS = 300_000, 160_000_000, 60_000, 40, 400_000
 _MARK, _CUT = "\ud800", "\ud801"  # can't occur in a text: U+2581 itself, and a border of units
 HASH_BASE = 0x100000001B3
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
@@ -138,6 +138,10 @@ class PieceSampler:
         self.end, self.size, self.room = Growing("i4"), Growing("i4"), Growing("i4")  # by unit: last state, characters, most pieces
         self.first, self.cum, self.prev, self.piece = Growing("i4"), Growing("f4"), Growing("i4"), Growing("i4")
 
+    def nbytes(self) -> int:
+        """About so many bytes of lattices and names of units."""
+        return 120 * len(self.known) + sum(g.n * g.a.itemsize for g in (self.end, self.size, self.room, self.first, self.cum, self.prev, self.piece))
+
     def units(self, text: str) -> list[str]:
         if not text:
             return []
@@ -258,7 +262,7 @@ class PieceSampler:
 
     def sample(self, units: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(pieces of the units one after another, how many each has)."""
-        if len(self.known) > CACHE_UNITS:
+        if len(self.known) > CACHE_UNITS or self.nbytes() > CACHE_BYTES:
             self.reset()
         known = self.known
         new = set(units).difference(known)
@@ -328,14 +332,9 @@ class PieceSampler:
         return b"".join(self.decode_table[ids].tolist()).decode()[1:]
 
 
-_WORKER: dict[tuple[str, float], PieceSampler] = {}
-
-
 def sampler(model: str, alpha: float = ALPHA) -> PieceSampler:
-    """One for each worker process."""
-    if (model, alpha) not in _WORKER:
-        _WORKER[model, alpha] = PieceSampler(model, alpha)
-    return _WORKER[model, alpha]
+    """One for each worker process, until it works for another operator."""
+    return kept_by_worker(("pieces", model, alpha), lambda: PieceSampler(model, alpha))
 
 
 def encode_decode(docs: DataFrame, model: str, alpha: float = ALPHA) -> DataFrame:
@@ -360,7 +359,7 @@ def encode_decode(docs: DataFrame, model: str, alpha: float = ALPHA) -> DataFram
 
 
 def tokenise(docs: DataFrame, model: str, alpha: float = ALPHA) -> DataFrame:
-    """Documents with their decoded text, n_pieces, ids_crc32 and the sampled ids themselves."""
+    """Documents with their decoded text, n_pieces, lossless and the sampled ids (piece_ids); columns of these three names are replaced."""
     bounded_batches(docs.sparkSession)
     names = docs.columns
     schema = docs.select(*(F.col(f"`{c}`") for c in names if c not in {"piece_ids", "n_pieces", "lossless"})).schema

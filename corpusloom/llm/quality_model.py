@@ -25,8 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.quality_rules import SYMBOLS
-from corpusloom.llm.texts import bounded_batches, id_and_text, rows_of, words_of
-from corpusloom.scratch import Scratch
+from corpusloom.llm.texts import bounded_batches, forget, id_and_text, rows_of, words_of
 
 SAMPLE_ROWS, BINS, PAIR_BINS, PAIRS = 20_000, 32, 8, 6
 ROUNDS, PAIR_ROUNDS, RATE, LEAF_ROWS, RIDGE = 120, 60, 0.1, 10, 1.0
@@ -52,6 +51,7 @@ def feature_table(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             got = [features(t) for (t,) in rows_of(batch, "text")]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0)} | {f: pa.array([g[i] for g in got], pa.float64()) for i, f in enumerate(FEATURES)})
@@ -174,38 +174,36 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(feature_rows: DataFrame, labels: DataFrame) -> AdditiveModel:
+def train(docs: DataFrame, labels: DataFrame) -> AdditiveModel:
+    """The model of a bounded sample of labelled rows; features are taken of these only."""
     one = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
-    learned = feature_rows.where(~held_out()).join(one, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(SAMPLE_ROWS)
-    rows = learned.select(*FEATURES, "quality").toPandas()
+    texts = id_and_text(docs).where(~held_out())
+    sample = texts.select("doc_id").join(one, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    rows = feature_table(texts.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")).join(F.broadcast(sample), "doc_id")
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(SAMPLE_ROWS).select(*FEATURES, "quality").toPandas()
     return fit(rows[FEATURES].to_numpy(float).reshape(-1, len(FEATURES)), rows["quality"].to_numpy(float))
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document."""
-    rows = scratch.save(feature_table(docs), "features")
-    model = train(rows, labels)
+def scored(docs: DataFrame, model: AdditiveModel, keep: bool) -> DataFrame:
+    """doc_id and score of every document; or, to keep, the documents that score 0.5 or more, with all their columns."""
+    bounded_batches(docs.sparkSession)
+    position = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
-            x = np.stack([batch.column(i + 1).to_numpy(zero_copy_only=False) for i in range(len(FEATURES))], axis=1)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "score": pa.array(model.score(x), pa.float64())})
+            score = model.score(np.array([features(t or "") for t in batch.column(position).to_pylist()]).reshape(-1, len(FEATURES)))
+            yield batch.filter(pa.array(score >= 0.5)) if keep else pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "score": pa.array(score, pa.float64())})
 
-    scored = rows.mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return docs.mapInArrow(run, docs.schema if keep else "doc_id long, score double")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
-    """The documents that the classifier accepts, with all their columns."""
-    spark = docs.sparkSession
-    rows = scratch.save(feature_table(docs), "features")
-    model = train(rows, labels)
-    bounded_batches(spark)
-    position = docs.columns.index("text")
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document."""
+    rows = scored(id_and_text(docs), train(docs, labels), keep=False)
+    return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.array([features(t or "") for t in batch.column(position).to_pylist()]).reshape(-1, len(FEATURES))
-            yield batch.filter(pa.array(model.score(x) >= 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that the classifier accepts, with all their columns."""
+    return scored(docs, train(docs, labels), keep=True)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.texts import bounded_batches, rows_of, words_of
+from corpusloom.llm.texts import bounded_batches, forget, rows_of, words_of
 from corpusloom.scratch import Scratch
 
 SYMBOLS = "#*$%&|<>"
@@ -56,6 +56,7 @@ def measures(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             got = [measure(t) for (t,) in rows_of(batch, "text")]
             columns = {n: batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "lang", "source")}

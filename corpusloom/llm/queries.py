@@ -22,7 +22,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_model.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark, "op3"))
+    return quality_model.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:

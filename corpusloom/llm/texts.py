@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -40,3 +43,34 @@ def id_and_text(docs: DataFrame) -> DataFrame:
 
 def rows_of(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
     return zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names), strict=True)
+
+
+_KEPT: dict[Hashable, Any] = {}
+
+
+def forget() -> None:
+    """Give back the memory of what this worker process has kept for another operator."""
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+
+def kept_by_worker(key: Hashable, make: Callable[[], Any]) -> Any:
+    """A model or cache that a worker process keeps between the tasks of one operator; that of another operator goes."""
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def as_rows(docs: DataFrame, *columns: Column) -> DataFrame:
+    """``docs`` as one column ``row``, whose fields can't clash with ``columns`` or those of other frames."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *columns)
+
+
+def from_rows(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` from ``row``, but for those changed, then new ones."""
+    kept = [changed.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+    return rows.select(*kept, *(v.alias(c) for c, v in changed.items() if c not in docs.columns))

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.texts import bounded_batches, id_and_text, rows_of, words_of
+from corpusloom.llm.texts import bounded_batches, id_and_text, kept_by_worker, rows_of, words_of
 from corpusloom.scratch import Scratch
 
 NULL_ID = -(2**63)
@@ -123,14 +123,9 @@ class WordEncoder:
         return [b"".join(extra[w] if w in extra else self.cache[w] for w in ws) for ws in split]
 
 
-_WORKER: dict[tuple[str, int], WordEncoder] = {}
-
-
 def encoder_of(path: str, end_id: int) -> WordEncoder:
-    """One for each worker process: its tokenizer and cache serve all tasks that the process runs."""
-    if (path, end_id) not in _WORKER:
-        _WORKER[path, end_id] = WordEncoder(path, end_id)
-    return _WORKER[path, end_id]
+    """One for each worker process, until it works for another operator: its tokenizer and cache serve all tasks that the process runs."""
+    return kept_by_worker(("tokens", path, end_id), lambda: WordEncoder(path, end_id))
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
