@@ -10,28 +10,37 @@ from corpusloom.llm.texts import table
 from corpusloom.scratch import Scratch
 
 
+def _fresh(spark: SparkSession, name: str) -> Scratch:
+    """Scratch of a stage that begins with the memory of the one before given back."""
+    scratch = Scratch(spark, name)
+    scratch.release()
+    return scratch
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    return quality_model.keep_good(docs, table(spark, sf_dir, "labels"), Scratch(spark, "quality"))
+    _fresh(spark, "quality")
+    return quality_model.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of line runs; those of which nothing is left go."""
-    return line_dedup.drop_lines(docs, Scratch(spark, "lines"))
+    return line_dedup.drop_lines(docs, _fresh(spark, "lines"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates."""
-    return ngram_join.keep_one(docs, Scratch(spark, "near"))
+    return ngram_join.keep_one(docs, _fresh(spark, "near"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), Scratch(spark, "benchmark"))
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), _fresh(spark, "benchmark"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with sampled piece ids, and their text as decoded from these."""
+    _fresh(spark, "pieces")
     return piece_sampling.tokenise(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
