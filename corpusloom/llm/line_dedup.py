@@ -7,8 +7,8 @@ its first copy, in order of (doc_id, text's hash, line), stays.
 * Lines that occur once can be in no repeated run and leave at once. The rest get ranks in the order of their ids: global
   prefix sums over ranges of the distinct ids.
 * Prefix doubling: a suffix's rank by its first 2 ** (k + 1) lines comes from its rank by 2 ** k lines and that of the suffix 2 ** k lines on. A new
-  rank is the place in the suffix array where its class begins: the old one plus the sizes of the classes before it within the
-  old class. Classes of one suffix are dropped in every round, so the rounds shrink.
+  rank is the place in the suffix array of repeated runs where its class begins: the sizes of the classes before it, in the order of the
+  old rank and the next, by prefix sums over ranges. Classes of one suffix are dropped in every round, so the rounds shrink.
 * A longest-common-prefix interval is a stretch of the suffix array whose suffixes share their first m lines. For every suffix the
   shortest prefix of MIN_CHARS characters has some m; two overlapping ranks of 2 ** floor(log2 m) lines name the interval. The
   same goes for the shortest runs ending at each line. All members of an interval but the earliest are later copies, and the union
@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.llm.texts import as_rows, from_rows
 from corpusloom.scratch import Scratch
 
 MIN_CHARS = 160
@@ -59,14 +60,14 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text_hash", F.col("pos").cast("long").alias("pos"), F.col("x.line_no").alias("line_no"), F.xxhash64("x.line").alias("h1"), F.xxhash64(F.lit(1), "x.line").alias("h2"), ahead.cast("int").alias("ahead"), back.cast("int").alias("back"))
 
 
-def ranks_in_order(distinct: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
-    """``distinct`` with rank, the sum of n over all rows before in the order of ``keys``: ranges, sums within, bases of ranges."""
-    ranged = scratch.save(distinct.repartitionByRange(*keys).withColumn("range", F.spark_partition_id()), "ranged")
+def ranks_in_order(distinct: DataFrame, keys: list[str], scratch: Scratch, name: str) -> DataFrame:
+    """``distinct`` with order, the sum of n over all rows before in the order of ``keys``: ranges, sums within, bases of ranges."""
+    ranged = scratch.save(distinct.repartitionByRange(*keys).withColumn("range", F.spark_partition_id()), name)
     order = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     bases = ranged.groupBy("range").agg(F.sum("n").alias("n")).select("range", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
     within = Window.partitionBy("range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    summed = ranged.withColumn("rank", F.coalesce(F.sum("n").over(within), F.lit(0)))
-    return summed.join(bases, "range").withColumn("rank", F.col("rank") + F.col("base")).drop("range", "base", "n")
+    summed = ranged.withColumn("order", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    return summed.join(F.broadcast(bases), "range").withColumn("order", F.col("order") + F.col("base")).drop("range", "base", "n")
 
 
 def at_suffix(left: DataFrame, right: DataFrame, *columns: str) -> DataFrame:
@@ -76,13 +77,13 @@ def at_suffix(left: DataFrame, right: DataFrame, *columns: str) -> DataFrame:
     return left.join(keyed, on).drop(*(f"at_{c}" for c in _SUFFIX))
 
 
-def double(ranks: DataFrame, length: int) -> DataFrame:
+def double(ranks: DataFrame, length: int, scratch: Scratch, name: str) -> DataFrame:
     """Ranks by 2 * length lines from ranks by ``length`` lines, of suffixes that share them with others."""
     pairs = at_suffix(ranks, ranks.select("doc_id", "text_hash", (F.col("pos") - length).alias("pos"), F.col("rank").alias("next")), "next").select(*_SUFFIX, "rank", "next")
-    classes = pairs.groupBy("rank", "next").agg(F.count("*").alias("n")).where("n > 1")
-    before = Window.partitionBy("rank").orderBy("next").rowsBetween(Window.unboundedPreceding, -1)
-    named = classes.select("rank", "next", (F.col("rank") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("new"))
-    return pairs.join(named, ["rank", "next"]).select(*_SUFFIX, F.col("new").alias("rank"))
+    # tables on their own, so that a class of very many suffixes, as a very common line makes, is a skewed join that can be split
+    classes = scratch.save(pairs.groupBy("rank", "next").agg(F.count("*").alias("n")).where("n > 1"), f"{name}-classes")
+    named = ranks_in_order(classes, ["rank", "next"], scratch, f"{name}-ranged").withColumnRenamed("order", "new")
+    return scratch.save(pairs.join(named, ["rank", "next"]).select(*_SUFFIX, F.col("new").alias("rank")), name)
 
 
 def deletions(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -90,7 +91,7 @@ def deletions(docs: DataFrame, scratch: Scratch) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
     lines = scratch.save(lines_of(texts), "lines")
     repeated = lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1")
-    ids = scratch.save(ranks_in_order(repeated, ["h1", "h2"], scratch), "ids")
+    ids = scratch.save(ranks_in_order(repeated, ["h1", "h2"], scratch, "ranged").withColumnRenamed("order", "rank"), "ids")
     suffixes = lines.join(ids, ["h1", "h2"]).select(*_SUFFIX, "line_no", "rank", "ahead", "back").dropDuplicates(_SUFFIX)
     suffixes = scratch.save(suffixes, "suffixes")
     runs = suffixes.select("doc_id", "text_hash", "pos", F.col("ahead").alias("m")).unionByName(suffixes.select("doc_id", "text_hash", (F.col("pos") - F.col("back") + 1).alias("pos"), F.col("back").alias("m")))
@@ -99,7 +100,7 @@ def deletions(docs: DataFrame, scratch: Scratch) -> DataFrame:
     ranks, k, keyed = suffixes.select(*_SUFFIX, "rank"), 0, None
     while 2**k <= most:
         if k:
-            ranks = scratch.save(double(ranks, 2 ** (k - 1)), f"ranks-{k}")
+            ranks = double(ranks, 2 ** (k - 1), scratch, f"ranks-{k}")
         of_k = runs.where((F.col("m") >= 2**k) & (F.col("m") < 2 ** (k + 1)))
         named = at_suffix(of_k, ranks.withColumnRenamed("rank", "first_rank"), "first_rank")
         if k:
@@ -113,38 +114,48 @@ def deletions(docs: DataFrame, scratch: Scratch) -> DataFrame:
     if keyed is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, gone array<int>")
     interval = ["m", "first_rank", "last_rank"]
-    earliest = keyed.groupBy(*interval).agg(F.min(F.struct(*_SUFFIX)).alias("first"), F.count("*").alias("n")).where("n > 1")
+    earliest = keyed.groupBy(*interval).agg(F.min(F.struct(*_SUFFIX)).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    earliest = scratch.save(earliest, "earliest")  # a table on its own: an interval of very many runs is a skewed join that can be split
     later = keyed.join(earliest, interval).where(F.struct(*_SUFFIX) > F.col("first"))
     covered = later.select("doc_id", "text_hash", F.explode(F.sequence("pos", F.col("pos") + F.col("m") - 1)).alias("pos")).distinct()
     gone = at_suffix(covered, suffixes, "line_no")
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))  # one document's lines
 
 
-def dedup_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` with later copies deleted from text, and gone_lines (how many); a document that loses all its words has an empty text."""
+def _deduped(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, Column, Column]:
+    """Rows of ``docs`` (as ``row``), their text without later copies, and how many lines are gone."""
     gone = scratch.save(deletions(docs, scratch), "gone")
     size = gone.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("gone")), F.lit(0)).alias("lines")).first()
-    few = gone.select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "gone")
+    few = gone.withColumnsRenamed({"doc_id": "gone_id", "text_hash": "gone_hash"})
     if size["docs"] <= BROADCAST_DOCS and size["lines"] <= BROADCAST_LINES:
         few = F.broadcast(few)
-    names = docs.columns
-    keyed = docs.select("*", F.xxhash64("text").alias("text_hash__"))
-    joined = keyed.join(few, F.col("doc_id").cast("long").eqNullSafe(F.col("g_id")) & (F.col("text_hash__") == F.col("g_hash")) & F.col("text").isNotNull(), "left")
-    joined = joined.select(*(F.col(f"`{c}`") for c in names), "gone", F.when(F.col("gone").isNotNull(), F.split("text", "\n")).alias("lines__"))
+    rows = as_rows(docs, F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    own = F.col("row").getField("text")
+    joined = rows.join(few, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash")) & own.isNotNull(), "left")
+    joined = joined.select("row", "gone", F.when(F.col("gone").isNotNull(), F.split(own, "\n")).alias("lines"))
     # the lines between one deleted line and the next, for each gap
     n = F.size("gone")
-    gap = lambda j: F.slice(F.col("lines__"), F.when(j == 0, 1).otherwise(F.get(F.col("gone"), F.greatest(j - 1, F.lit(0))) + 2), F.when(j == n, F.size("lines__")).otherwise(F.get(F.col("gone"), j)) - F.when(j == 0, 0).otherwise(F.get(F.col("gone"), F.greatest(j - 1, F.lit(0))) + 1))
+    gap = lambda j: F.slice(F.col("lines"), F.when(j == 0, 1).otherwise(F.get(F.col("gone"), F.greatest(j - 1, F.lit(0))) + 2), F.when(j == n, F.size("lines")).otherwise(F.get(F.col("gone"), j)) - F.when(j == 0, 0).otherwise(F.get(F.col("gone"), F.greatest(j - 1, F.lit(0))) + 1))
     left = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), n), gap)), "\n")
     left = F.when(left.rlike(_WORD), left).otherwise(F.lit(""))
-    text = F.when(F.col("gone").isNotNull(), left).otherwise(F.col("text"))
-    return joined.select(*((text.alias(c) if c == "text" else F.col(f"`{c}`")) for c in names), F.coalesce(n.cast("long"), F.lit(0)).alias("gone_lines"))
+    return joined, F.when(F.col("gone").isNotNull(), left).otherwise(own), F.coalesce(n.cast("long"), F.lit(0))
+
+
+def dedup_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` with later copies deleted from text, and gone_lines (how many; a column of that name is replaced); a document that
+    loses all its words has an empty text."""
+    rows, text, n = _deduped(docs, scratch)
+    return from_rows(rows, docs, text=text, gone_lines=n)
 
 
 def drop_lines(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Documents without later copies of line runs, n_chars made true again; those of which nothing is left go."""
-    cleaned = dedup_lines(docs, scratch).where((F.col("gone_lines") == 0) | (F.col("text") != ""))
-    length = F.when(F.col("gone_lines") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cleaned.withColumn("n_chars", length).select(*docs.columns)
+    """Documents without later copies of line runs, n_chars (if there is one) made true again; those of which nothing is left go."""
+    rows, text, n = _deduped(docs, scratch)
+    rows = rows.select("row", text.alias("text"), n.alias("n")).where((F.col("n") == 0) | (F.col("text") != ""))
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("n") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row").getField("n_chars"))
+    return from_rows(rows, docs, **changed)
 
 
 def oracle() -> str:
