@@ -28,6 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.texts import as_rows, from_rows
 from corpusloom.scratch import Scratch
 
 #: kind: (pattern, what a text must match to be searched). A possessive form of the fixed patterns that finds the same matches.
@@ -144,7 +145,9 @@ def disclosing(docs: DataFrame, found: DataFrame, texts: DataFrame, scratch: Scr
     rate = F.col("n_c") / F.lit(n)
     pmi = F.log2((F.col("n_ct") + rate) / (F.col("n_t") + 1) / rate)
     scored = pairs.groupBy("entity", "term", "n_c", "n_t").agg(F.count("*").alias("n_ct")).select("entity", "term", (pmi / -F.log2(rate)).alias("share"))
-    bad = pairs.select("entity", "term", "text_hash").join(scored.where(F.col("share") >= DISCLOSURE), ["entity", "term"]).groupBy("text_hash", "term").agg(F.max("share").alias("share"))
+    # a table on its own: an entity of very many texts is a skewed join that can be split
+    scored = scratch.save(scored.where(F.col("share") >= DISCLOSURE), "scored")
+    bad = pairs.select("entity", "term", "text_hash").join(scored, ["entity", "term"]).groupBy("text_hash", "term").agg(F.max("share").alias("share"))
     return scratch.save(bad.groupBy("text_hash").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares")), "disclosing")  # one text's
 
 
@@ -175,14 +178,22 @@ def digest(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def sanitise(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` with base spans replaced by their kind in brackets and disclosing terms removed or generalised to [TERM]."""
-    names = docs.columns
+    """``docs`` with base spans replaced by their kind in brackets and disclosing terms removed or generalised to [TERM].
+
+    Other columns are kept, whatever their names; null texts stay null.
+    """
     spans = personal_data(docs, scratch).where(F.size("all") > 0).select(F.col("doc_id").alias("s_id"), F.col("text_hash").alias("s_hash"), "all").dropDuplicates(["s_id", "s_hash"])
-    joined = docs.withColumn("text_hash__", F.xxhash64("text")).join(spans, F.col("doc_id").cast("long").eqNullSafe(F.col("s_id")) & (F.col("text_hash__") == F.col("s_hash")), "left")
+    rows = as_rows(docs, F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    joined = rows.join(spans, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("hash") == F.col("s_hash")), "left")
+    own = F.col("row").getField("text")
     kind = "struct<at:int,out:array<string>>"
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")).cast(kind)
     shown = lambda s: F.when(s["removed"], "").otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-    step = lambda a, s: F.when(s["start"] < a["at"], F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out")).cast(kind)).otherwise(F.struct(s["end"].alias("at"), F.concat(a["out"], F.array(F.substring(F.col("text"), a["at"] + 1, s["start"] - a["at"]), shown(s))).alias("out")).cast(kind))
-    made = F.aggregate("all", zero, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    text = F.when(F.col("all").isNotNull(), made).otherwise(F.col("text"))
-    return joined.select(*((text.alias(c) if c == "text" else F.col(f"`{c}`")) for c in names))
+
+    def step(a: Column, s: Column) -> Column:
+        inside = F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out")).cast(kind)
+        more = F.concat(a["out"], F.array(F.substring(own, a["at"] + 1, s["start"] - a["at"]), shown(s)))
+        return F.when(s["start"] < a["at"], inside).otherwise(F.struct(s["end"].alias("at"), more.alias("out")).cast(kind))
+
+    made = F.aggregate("all", zero, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(own, a["at"] + 1, F.length(own))))
+    return from_rows(joined, docs, text=F.when(F.col("all").isNotNull(), made).otherwise(own))
