@@ -9,8 +9,9 @@ entries, taken in vectorised form over whole texts. The prediction is the langua
 posterior under equal priors.
 
 The classifier is fitted on a bounded sample: per language about ``SAMPLE_DOCS`` documents of the smallest hashes
-(all, if it has fewer), whole texts. Per language the ``CONTEXTS`` most frequent contexts of the full order are kept; bytes after
-others are coded by their longest kept suffix. The model is checked against ``MODEL_BYTES`` before it is broadcast.
+(all, if it has fewer), whole texts. Per language the ``CONTEXTS`` most frequent contexts of each order above 1 are kept, or fewer
+if there are so many languages that the model would exceed about ``MODEL_BYTES``; bytes after others are coded by their longest kept
+suffix. One index of all contexts serves all languages, each of which has a row of code lengths for every context in it.
 
 Defined cases: ``und`` and score 0 for null texts and texts without a letter, and for all if there's nothing to learn from;
 ties go to the language first in order; null doc_ids are predicted and not held out; other columns are ignored; an empty
@@ -28,13 +29,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.texts import bounded_batches, id_and_text, rows_of
+from corpusloom.llm.texts import bounded_batches, forget, id_and_text, rows_of
 from corpusloom.scratch import Scratch
 
 ORDER, SAMPLE_DOCS, CONTEXTS, MODEL_BYTES = 3, 1000, 8192, 400_000_000
 #: Bytes scored at a time.
 BLOCK = 1 << 18
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Superscripts, fractions and number forms match the pattern too, but are none."""
+    return any(m[0].isalpha() for m in _WORDLIKE.finditer(text))
 
 
 def held_out() -> Column:
@@ -63,37 +69,33 @@ def gram_counts(sample: DataFrame) -> DataFrame:
 
 
 class ContextTree:
-    """Code lengths in bits under one language's frozen counts."""
+    """Code lengths in bits under one language's frozen counts, by kept contexts of each order."""
 
-    def __init__(self, grams: np.ndarray, n: np.ndarray, letters: np.ndarray):
-        """letters: maps a byte to its index in the alphabet of all languages; the last index stands for bytes seen in none."""
+    def __init__(self, grams: np.ndarray, n: np.ndarray, letters: np.ndarray, most: int):
+        """letters: maps a byte to its index in the alphabet of all languages; the last index stands for bytes seen in none.
+        most: contexts kept of each order above 1, the most frequent ones whose suffix is kept."""
         size = int(letters.max()) + 1
         spare = 256 - (size - 1)  # bytes that the last index stands for
         idx = [letters[(grams >> s) & 255].astype(np.int64) for s in (24, 16, 8, 0)]
         lower = np.full((1, size), 1 / 256.0)
         rows = np.zeros(1, np.int64)  # of each context of the next shorter order, its row in lower
-        self.tables, self.keys = [], []
+        self.size, self.tables, self.keys = size, [], []
         for k in range(ORDER + 1):
             key = np.zeros(len(grams), np.int64)
             for j in range(k):
                 key = key * size + idx[3 - k + j]
-            contexts, inverse, = np.unique(key, return_inverse=True)
+            contexts, inverse = np.unique(key, return_inverse=True)
             seen = np.bincount(inverse, n, len(contexts))
-            if k == ORDER and len(contexts) > CONTEXTS:
-                kept = np.sort(np.argsort(-seen, kind="stable")[:CONTEXTS])
-            else:
-                kept = np.arange(len(contexts))
+            kept = np.flatnonzero(np.isin(contexts % size ** (k - 1), rows)) if k else np.arange(len(contexts))
+            if k > 1 and len(kept) > most:
+                kept = np.sort(kept[np.argsort(-seen[kept], kind="stable")[:most]])
             place = np.full(len(contexts), -1)
             place[kept] = np.arange(len(kept))
             use = place[inverse] >= 0
             count = np.zeros((len(kept), size))
             np.add.at(count, (place[inverse[use]], idx[3][use]), n[use])
             contexts = contexts[kept]
-            if k:
-                shorter = contexts % size ** (k - 1)
-                below = lower[np.searchsorted(rows, shorter)]
-            else:
-                below = np.repeat(lower, len(kept), axis=0)
+            below = lower[np.searchsorted(rows, contexts % size ** (k - 1))] if k else np.repeat(lower, len(kept), axis=0)
             met = count > 0
             weight = np.ones(size)
             weight[-1] = spare  # the last index stands for so many bytes
@@ -103,20 +105,18 @@ class ContextTree:
             lower, rows = table, contexts
             self.tables.append(table)
             self.keys.append(contexts)
-        self.size = size
-
-    def rows(self) -> tuple[np.ndarray, np.ndarray]:
-        """(row of every possible context of the full order, code lengths by row): the longest kept suffix decides."""
-        size = self.size
-        first, stacked = 0, []
-        place = np.zeros(1, np.int32)
-        for k in range(ORDER + 1):
-            if k:
-                place = np.tile(place, size)  # a longer context starts from what its suffix has
-            place[self.keys[k]] = first + np.arange(len(self.keys[k]))
-            stacked.append(self.tables[k])
-            first += len(self.keys[k])
-        return place, -np.log2(np.maximum(np.concatenate(stacked), 1e-30)).astype(np.float32)
+        self.bits = -np.log2(np.maximum(np.concatenate(self.tables), 1e-30)).astype(np.float32)
+
+    def rows_of(self, contexts: np.ndarray) -> np.ndarray:
+        """Of contexts of the full order the row of the longest kept suffix."""
+        out, first = np.zeros(len(contexts), np.int32), 0
+        for k, keys in enumerate(self.keys):
+            suffix = contexts % self.size**k
+            at = np.minimum(np.searchsorted(keys, suffix), max(len(keys) - 1, 0))
+            found = keys[at] == suffix if len(keys) else np.zeros(len(contexts), bool)
+            out[found] = first + at[found]
+            first += len(keys)
+        return out
 
 
 class LanguageModel:
@@ -126,18 +126,21 @@ class LanguageModel:
         for grams, _ in counts.values():
             for s in (0, 8, 16, 24):
                 found[(grams >> s) & 255] = True
-        self.letters = np.full(256, int(found.sum()), np.uint8 if found.sum() < 256 else np.int16)
+        self.letters = np.full(256, int(found.sum()), np.int16)
         self.letters[found] = np.arange(found.sum())
-        self.size = int(found.sum()) + 1
-        self.trees = []
-        for lang in self.langs:
-            place, table = ContextTree(*counts[lang], np.where(found, self.letters, found.sum())).rows()
-            if len(place) < self.size**ORDER:
-                raise AssertionError("context index is incomplete")
-            self.trees.append((place, table.ravel()))
+        self.size = size = int(found.sum()) + 1
+        # a language has rows of tables and, for every context in the index, a row's number
+        most = min(CONTEXTS, max(1, MODEL_BYTES // (4 * max(1, len(counts)) * (2 * size + len(counts)))))
+        trees = [ContextTree(*counts[lang], self.letters.astype(np.int64), most) for lang in self.langs]
+        # shorter contexts come first, as those of the full order that begin with the last index, which no text has there
+        full = np.unique(np.concatenate([t.keys[ORDER] for t in trees])) if trees else np.zeros(0, np.int64)
+        shorter = (size - 1) * size ** (ORDER - 1) + np.arange(size ** (ORDER - 1))
+        self.index = np.tile(np.arange(size ** (ORDER - 1), dtype=np.int32), size)
+        self.index[full] = size ** (ORDER - 1) + np.arange(len(full), dtype=np.int32)
+        self.trees = [(np.concatenate([t.rows_of(shorter), t.rows_of(full)]), t.bits.ravel()) for t in trees]
 
     def nbytes(self) -> int:
-        return sum(a.nbytes + b.nbytes for a, b in self.trees)
+        return self.index.nbytes + sum(a.nbytes + b.nbytes for a, b in self.trees)
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text in each language."""
@@ -159,7 +162,7 @@ class LanguageModel:
     def _sums(self, texts: list[bytes], before: bytes = b"") -> np.ndarray:
         gap = (b"\0" * ORDER + before)[-ORDER:]
         joined = self.letters[np.frombuffer(gap + (b"\0" * ORDER).join(texts), np.uint8)].astype(np.int32)
-        context = (joined[:-3] * self.size + joined[1:-2]) * self.size + joined[2:-1]
+        context = self.index[(joined[:-3] * self.size + joined[1:-2]) * self.size + joined[2:-1]]
         symbol = joined[3:]
         lengths = np.array([len(t) for t in texts])
         starts = np.concatenate(([0], np.cumsum(lengths + ORDER)[:-1]))
@@ -177,7 +180,7 @@ class LanguageModel:
         bits = self.code_lengths([t.encode() for t in texts])
         best = bits.argmin(1)
         posterior = 1 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
-        spoken = [bool(_LETTER.search(t)) for t in texts]
+        spoken = [has_letter(t) for t in texts]
         return [self.langs[b] if s else "und" for b, s in zip(best, spoken, strict=True)], [float(p) if s else 0.0 for p, s in zip(posterior, spoken, strict=True)]
 
 
@@ -198,11 +201,10 @@ def predict_languages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document."""
     spark = docs.sparkSession
     model = train(docs, scratch)
-    if model.nbytes() > MODEL_BYTES:
-        raise ValueError(f"the model has {model.nbytes()} bytes, more than MODEL_BYTES; lower CONTEXTS or SAMPLE_DOCS")
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             pred, score = shared.value.predict(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "lang_pred": pa.array(pred, pa.string()), "score": pa.array(score, pa.float64())})
