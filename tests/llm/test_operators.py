@@ -4,6 +4,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import decontamination, disclosure, language_id, line_dedup, ngram_join, piece_sampling, quality_model, quality_rules, revisits, token_files
 from corpusloom.scratch import Scratch
@@ -105,9 +106,9 @@ def test_quality_model(spark, docs):
     bad = [" ".join(["spam"] * (40 + i % 9)) for i in range(300)]
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(good + bad)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i < 300), 0) for i in range(600)], "doc_id long, quality int, toxic int")
-    found = quality_model.score_documents(rows, labels, Scratch(spark, "t")).where("held_out").collect()
+    found = quality_model.score_documents(rows, labels).where("held_out").collect()
     assert np.mean([r["predicted"] == (r["doc_id"] < 300) for r in found]) > 0.95
-    plain = quality_model.score_documents(docs, labels.limit(0), Scratch(spark, "t")).collect()
+    plain = quality_model.score_documents(docs, labels.limit(0)).collect()
     assert {r["score"] for r in plain} == {0.5} and len(plain) == docs.count()
 
 
@@ -167,6 +168,28 @@ def test_decontamination(spark, docs):
     assert decontamination.contaminated(docs, items.limit(0), Scratch(spark, "t")).count() == 0
 
 
+def test_decontamination_finds_nearly_all_and_founds_no_pairs_on_a_common_passage(spark):
+    """Random items of 5 to 60 words, each with 0.8 of its shingles or just less in documents; and 40 items and 60 documents that share a passage."""
+    rng = np.random.default_rng(3)
+    word = lambda: f"z{rng.integers(10**9)}"
+    items = [[word() for _ in range(rng.integers(5, 60))] for _ in range(60)]
+    docs, want = [], set()
+    for i, item in enumerate(items):
+        for part in (1.0, 0.85, 0.7):
+            kept = item[: max(5, round(len(item) * part))]
+            if 100 * (len(kept) - 4) >= 80 * (len(item) - 4):
+                want.add((len(docs), i))
+            docs.append([*(word() for _ in range(300)), *kept, *(word() for _ in range(300))])
+    common = [word() for _ in range(12)]
+    items += [[*common, *(word() for _ in range(30))] for _ in range(40)]
+    docs += [[*(word() for _ in range(50)), *common] for _ in range(60)]
+    frame, known = (spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(x)], f"{n} long, text string") for x, n in ((docs, "doc_id"), (items, "item_id")))
+    scratch = Scratch(spark, "t")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(frame, known, scratch).collect()}
+    assert got <= want and len(got) >= 0.99 * len(want)
+    assert spark.read.parquet(scratch.path("candidates")).where("doc_id >= 180").count() == 0
+
+
 def test_decontamination_finds_items_of_one_shingle_in_long_documents(spark):
     items = [" ".join(f"k{i}x{j}" for j in range(5)) for i in range(20)]
     frame = spark.createDataFrame([(i, f"{LONG} {item} {LONG}") for i, item in enumerate(items)], "doc_id long, text string")
@@ -175,6 +198,24 @@ def test_decontamination_finds_items_of_one_shingle_in_long_documents(spark):
     assert got == {(i, i, 1, 1) for i in range(20)}
 
 
+#: Names that the operators use for columns of their own.
+HELPERS = ["gone", "g_id", "gone_id", "gone_hash", "lines", "lines__", "text_hash", "text_hash__", "id", "hash", "row", "n", "all", "s_id", "s_hash", "shares", "gone_lines", "n_pieces", "lossless", "piece_ids", "poster", "uid", "component_id", "kept", "score"]
+
+
+@pytest.mark.parametrize("run", [
+    lambda d, i, s: line_dedup.dedup_lines(d, s), lambda d, i, s: line_dedup.drop_lines(d, s), lambda d, i, s: line_dedup.drop_lines(d.drop("n_chars"), s), lambda d, i, s: decontamination.decontaminate(d, i, s),
+    lambda d, i, s: ngram_join.keep_one(d, s), lambda d, i, s: disclosure.sanitise(d, s), lambda d, i, s: piece_sampling.tokenise(d, public_tokenizers.path("piece_bpe_32k.model")), lambda d, i, s: quality_model.keep_good(d, d.selectExpr("doc_id", "1 as quality")),
+])
+def test_columns_of_any_name_are_kept(spark, docs, run):
+    wide = docs.select("*", *(F.lit(f"own {c}").alias(c) for c in HELPERS))
+    items = spark.createDataFrame([(1, "two words")], "item_id long, text string")
+    for frame in (wide, wide.limit(0)):
+        out = run(frame, items, Scratch(spark, "t"))
+        kept = [c for c in HELPERS if c not in {"gone_lines", "n_pieces", "lossless", "piece_ids"}]
+        assert set(kept) <= set(out.columns) and len(out.columns) == len(set(out.columns))
+        assert out.where(" or ".join(f"`{c}` <> 'own {c}'" for c in kept)).count() == 0
+
+
 def test_line_dedup(spark, docs):
     a, b, c = ("x" * 200, "y" * 90, "z" * 90)
     texts = [f"{a}\n{b}\n{c}", f"{a}\nown\n{b}", f"new\n{b}\n\n{c}\nend", f"{b}", None, "", f"{a}\n{a}"]
