@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.piece_sampling import mix
-from corpusloom.llm.texts import bounded_batches, id_and_text, rows_of
+from corpusloom.llm.texts import bounded_batches, forget, id_and_text, rows_of
 from corpusloom.operators.graph import connected_components
 from corpusloom.scratch import Scratch
 
@@ -160,6 +160,7 @@ def frequent_shingles(docs: DataFrame, total: int) -> Frequent:
     share = min(1.0, SAMPLE_DOCS / max(total, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         hashes = WordHashes()
         for batch in batches:
             s, n = shingle_sets(batch.column(0).to_pylist(), hashes)
@@ -273,6 +274,7 @@ def signatures(texts: DataFrame, frequent: Frequent, buckets: int) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         hashes, poster, seen = WordHashes(), Poster(shared.value, buckets), {}
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -743,7 +745,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
 def keep_one(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The document that names its component, of each component, with all its columns."""
     gone = scratch.save(near_duplicates(docs, scratch).where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    return docs.join(few(gone, gone.count()), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(few(gone, gone.count()), "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def oracle() -> str:
