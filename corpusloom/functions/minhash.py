@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.text import PYTHON_SEPARATORS, PYTHON_SEPARATORS_SPLIT
+
 SEED, PRIME, TOP = 42, 2**61 - 1, 2**32 - 1
 
 
@@ -21,31 +27,69 @@ def hash_family(num_perm: int, seed: int = SEED) -> tuple[tuple[int, ...], tuple
     return tuple(a for a, _ in pairs), tuple(b for _, b in pairs)
 
 
-def signatures(hashed: DataFrame, num_perm: int = 128) -> DataFrame:
-    """(uid, signature) from (uid, array of 32-bit hashes): the least value of every permutation; all ones of 32 bits if there's no hash.
+def least_values(hashes: np.ndarray, sizes: np.ndarray, num_perm: int) -> np.ndarray:
+    """A row for each set of 32-bit hashes (one after another): the least value of every permutation; all ones of 32 bits for an empty set.
 
-    Unsigned 64-bit products wrap, which Spark's arithmetic doesn't; NumPy works on an Arrow batch, a permutation at a time over
-    all its documents. A plan node of its own, so that Spark can't draw it into other expressions.
+    Unsigned 64-bit products wrap, which Spark's arithmetic doesn't. The remainder by 2 ** 61 - 1 comes from shifts: what a
+    subtraction too many wraps to is greater than what it's taken from.
     """
     a, b = (np.array(x, np.uint64) for x in hash_family(num_perm))
+    out = np.full((len(sizes), num_perm), TOP, np.uint64)
+    full = np.flatnonzero(sizes)
+    if len(full):
+        begin = np.cumsum(sizes[full]) - sizes[full]
+        for k in range(num_perm):
+            x = hashes * a[k] + b[k]
+            x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
+            out[full, k] = np.minimum.reduceat(np.minimum(x, x - np.uint64(PRIME)) & np.uint64(TOP), begin)
+    return out
+
+
+def _batch(uid: pa.Array, values: np.ndarray) -> pa.RecordBatch:
+    n, num_perm = values.shape
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * num_perm), pa.array(values.astype(np.int64).ravel()))
+    return pa.RecordBatch.from_arrays([uid, lists], names=["uid", "signature"])
+
+
+def signatures(hashed: DataFrame, num_perm: int = 128) -> DataFrame:
+    """(uid, signature) from (uid, array of 32-bit hashes); a null array counts as empty. A plan node of its own, so that Spark can't draw it into other expressions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(1)
-            sizes = np.diff(lists.offsets.to_numpy())
-            out = np.full((len(lists), num_perm), TOP, np.uint64)
-            full = np.flatnonzero(sizes)
-            if len(full):
-                h = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
-                begin = np.cumsum(sizes[full]) - sizes[full]
-                for k in range(num_perm):
-                    out[full, k] = np.minimum.reduceat((h * a[k] + b[k]) % np.uint64(PRIME) & np.uint64(TOP), begin)
-            flat = pa.array(out.astype(np.int64).ravel())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * num_perm), flat)], names=["uid", "signature"])
+            sizes = np.array([0 if n is None else n for n in lists.value_lengths().to_pylist()], np.int64)
+            yield _batch(batch.column(0), least_values(lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint64), sizes, num_perm))
 
     return hashed.mapInArrow(run, "uid long, signature array<long>")
 
 
+def text_signatures(texts: DataFrame, num_perm: int, ngram: int, min_length: int, split_ideographs: bool, unicode_form: bool, isolate_short: bool) -> DataFrame:
+    """(uid, signature) from (uid, lower-cased text) in one Arrow node: separators, tokens, distinct shingles, hashes, least values.
+
+    A null text has no shingle and all ones of 32 bits; with ``isolate_short`` texts without a shingle are left out.
+    """
+    separators, non_word = re.compile(PYTHON_SEPARATORS_SPLIT if split_ideographs else PYTHON_SEPARATORS), re.compile(r"\W")
+
+    def hashes(t: str | None) -> list[int]:
+        if t is None:
+            return []
+        content = separators.sub(" ", unicodedata.normalize("NFKC", t) if unicode_form and not t.isascii() else t)
+        words = non_word.split(content)
+        if len(words) < min_length:
+            return []
+        grams = {" ".join(words[i : i + ngram]) for i in range(max(1, len(words) - ngram + 1))}
+        return [int.from_bytes(hashlib.sha1(g.lower().encode("utf-8", "replace"), usedforsecurity=False).digest()[:4], "little") for g in grams]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [hashes(t) for t in batch.column(1).to_pylist()]
+            sizes = np.array([len(x) for x in found], np.int64)
+            out = _batch(batch.column(0), least_values(np.fromiter(chain.from_iterable(found), np.uint64, int(sizes.sum())), sizes, num_perm))
+            yield out.filter(pa.array(sizes > 0)) if isolate_short else out
+
+    return texts.mapInArrow(run, "uid long, signature array<long>")
+
+
 def bands(signature_: str, b: int, r: int) -> Column:
     """An array of (band, key)."""
     return F.array(*(F.struct(F.lit(i).alias("band"), F.slice(signature_, i * r + 1, r).alias("key")) for i in range(b)))

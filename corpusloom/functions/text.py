@@ -18,6 +18,9 @@ SPACE = r"\s\x1c-\x1f"
 SEPARATORS = f"(?U)[{SPACE}{PUNCTUATION}{_ASCII}]+"
 #: Also the gap between two ideographs.
 SEPARATORS_SPLIT = SEPARATORS + r"|(?<=[\x{4e00}-\x{9fff}])(?=[\x{4e00}-\x{9fff}])"
+#: The same in Python's syntax, where \s has all of that.
+PYTHON_SEPARATORS = rf"[\s{PUNCTUATION}{_ASCII}]+"
+PYTHON_SEPARATORS_SPLIT = PYTHON_SEPARATORS + "|(?<=[\u4e00-\u9fff])(?=[\u4e00-\u9fff])"
 NON_WORD = r"[^\p{L}\p{N}_]"
 
 

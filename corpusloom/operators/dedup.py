@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import minhash, text
 from corpusloom.operators.graph import connected_components
 from corpusloom.scratch import Scratch
+from corpusloom.sources.io import spread
 
 
 @dataclass(frozen=True)
@@ -30,12 +31,19 @@ class DedupConfig:
 
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The row of least key of every distinct text; null texts count as one.
+    """One row of every distinct text: that of the least key, nulls last, then of the least hash of its other columns. Null texts count as one.
 
-    Only a 256-bit digest and the key are shuffled to find survivors, never the text.
+    Only a 256-bit digest, the key and a hash are shuffled to find survivors, never the text; of texts that occur more than once
+    the survivors are dealt once more, as rows that are equal in all columns can't be told apart.
     """
-    digest = docs.select(F.col(key).alias("keep"), F.sha2(F.col(text_column).cast("binary"), 256).alias("digest"))
-    return docs.join(digest.groupBy("digest").agg(F.min("keep").alias("keep")).select("keep"), F.col(key) == F.col("keep"), "left_semi")
+    others = [c for c in docs.columns if c != text_column]
+    digest = F.coalesce(F.sha2(F.col(text_column).cast("binary"), 256), F.lit(""))
+    tie = F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in others))))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), digest.alias("digest"), F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), tie.alias("tie")).alias("place"))
+    least = rows.groupBy("digest").agg(F.min("place").alias("least"), F.count("*").alias("copies")).withColumnRenamed("digest", "of")
+    kept = rows.join(least, F.col("digest") == F.col("of")).where(F.col("place").eqNullSafe(F.col("least"))).select("row", "digest", "copies")
+    out = kept.where("copies = 1").unionByName(kept.where("copies > 1").dropDuplicates(["digest"]))
+    return out.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def hashed_shingles(docs: DataFrame, config: DedupConfig, key: str = "doc_id") -> DataFrame:
@@ -45,10 +53,9 @@ def hashed_shingles(docs: DataFrame, config: DedupConfig, key: str = "doc_id") -
 
 
 def signatures(docs: DataFrame, config: DedupConfig, key: str = "doc_id") -> DataFrame:
-    hashed = hashed_shingles(docs, config, key)
-    if config.isolate_short:
-        hashed = hashed.where(F.size("hashes") > 0)
-    return minhash.signatures(hashed.select(F.col("uid").cast("long").alias("uid"), "hashes"), config.num_perm)
+    """uid, signature. Shingles and their hashes are made in the Arrow node that takes the minima: they never become rows or columns."""
+    texts = spread(docs.select(F.col(key).cast("long").alias("uid"), F.lower("text").alias("lower")))
+    return minhash.text_signatures(texts, config.num_perm, config.ngram, config.min_length, config.split_ideographs, config.unicode_form, config.isolate_short)
 
 
 def band_rows(signed: DataFrame, config: DedupConfig) -> DataFrame:
@@ -57,8 +64,10 @@ def band_rows(signed: DataFrame, config: DedupConfig) -> DataFrame:
 
 
 def candidate_edges(banded: DataFrame) -> DataFrame:
-    """(src, dst): every member of a bucket but the least is tied to the least. Counts and minima only; no bucket is gathered."""
-    slim = banded.select("uid", "band", F.xxhash64("band", "key").alias("bucket"), F.sha2(F.to_json("key").cast("binary"), 256).alias("digest"))
+    """(src, dst): every member of a bucket but the least is tied to the least. Counts and minima only; no bucket is gathered.
+
+    ``banded`` is read twice: give a written table, or its signatures are computed twice."""
+    slim = banded.select("uid", F.xxhash64("band", "key").alias("bucket"), F.xxhash64(F.lit(1), "key", "band").alias("digest"))  # 128 bits
     least = slim.groupBy("bucket", "digest").agg(F.min("uid").alias("dst"), F.count("*").alias("n")).where("n > 1").select("bucket", "digest", "dst")
     return slim.join(least, ["bucket", "digest"]).where("uid <> dst").select(F.col("uid").alias("src"), "dst").distinct()
 
@@ -86,8 +95,8 @@ def near_dedup(docs: DataFrame, config: DedupConfig, scratch: Scratch, key: str
     signed = scratch.save(signatures(docs, config, key), "signed")
     edges = scratch.save(candidate_edges(band_rows(signed, config)), "edges")
     components = scratch.save(connected_components(edges, scratch, "wcc"), "wcc")
-    gone = components.where("vid > component").select("vid")
-    return DedupResult(docs, components, docs.join(gone, docs[key] == gone["vid"], "left_semi"), docs.join(gone, docs[key] == gone["vid"], "left_anti"))
+    gone = components.where("vid > component").select(F.col("vid").alias(key))
+    return DedupResult(docs, components, docs.join(gone, key, "left_semi").select(docs.columns), docs.join(gone, key, "left_anti").select(docs.columns))
 
 
 def duplicate_rate(raw: DataFrame, dup: DataFrame) -> DataFrame:

@@ -80,7 +80,11 @@ def _bands(config: dedup.DedupConfig) -> Query:
 
 
 def _edges(config: dedup.DedupConfig) -> Query:
-    return lambda spark, sf_dir: dedup.candidate_edges(dedup.band_rows(dedup.signatures(dedup.exact_dedup(documents(spark, sf_dir)), config), config))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        signed = dedup.signatures(dedup.exact_dedup(documents(spark, sf_dir)), config)
+        return dedup.candidate_edges(Scratch(spark, "edges").save(dedup.band_rows(signed, config), "bands"))
+
+    return run
 
 
 def _near(part: str, config: dedup.DedupConfig) -> Query:

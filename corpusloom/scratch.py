@@ -18,6 +18,8 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir isn't set: executors need a folder that all of them see")
     made = f"file://{tempfile.mkdtemp(prefix='corpusloom-')}"
     spark.conf.set("spark.checkpoint.dir", made)
     return made

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 #: Adaptive execution does partition coalescing and skew-join splitting; Arrow batches are bounded because texts can be long.
@@ -22,8 +20,8 @@ DEFAULTS = {
 def build_session(app: str = "corpusloom", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """A session with the engine's defaults; ``conf`` wins over them."""
     builder = SparkSession.builder.appName(app)
-    if master or not os.environ.get("SPARK_MASTER_SET"):
-        builder = builder.master(master or "local[*]")
+    if master:  # else that of spark-submit, or Spark's default, local[*]
+        builder = builder.master(master)
     for key, value in (DEFAULTS | (conf or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_A_PARTITION = 500_000
+SPREAD = 32 * 2**20
 
 
 def scan(spark: SparkSession, path: str | list[str], file_type: str = "parquet", schema: T.StructType | str | None = None, recursive: bool = False, ignore_corrupt: bool = False) -> DataFrame:
@@ -45,6 +46,14 @@ def plan_partitions(df: DataFrame, num_partitions: int = 0, partition_size_mb: i
     return df if n is None else df.repartition(n)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores if it's small: a small file can be one split, which leaves all but one idle. At most SPREAD bytes a core are shuffled."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size <= cores * SPREAD else df
+
+
 def sink(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
