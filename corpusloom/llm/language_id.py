@@ -63,7 +63,7 @@ def gram_counts(sample: DataFrame) -> DataFrame:
                 by[lang].append(gram_codes(text.encode()))
             for lang, parts in by.items():
                 grams, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_pydict({"lang": [lang] * len(grams), "gram": pa.array(grams.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(grams), pa.string()), "gram": pa.array(grams.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
 
     return sample.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
