@@ -101,6 +101,25 @@ def test_quality_rules(spark, docs):
     assert quality_rules.judge(docs.limit(0), Scratch(spark, "t")).count() == 0
 
 
+def test_fences_of_groups_against_sql(spark, monkeypatch):
+    """250 documents in each of three groups, more than MIN_GROUP, and a small group that takes its language's fences."""
+    import duckdb
+
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(790):
+        words = ["".join(rng.choice(list("abcdefg"), rng.integers(2, 5 + 3 * (i % 3)))) for _ in range(rng.integers(55, 80))]
+        if rng.random() < 0.15:
+            words = [w + "#" * rng.integers(1, 9) if rng.random() < 0.5 else "long" * 9 for w in words]
+        rows.append((i, " ".join(words) + ("\nsame\nsame" if rng.random() < 0.1 else ""), "en" if i % 3 else "fr", f"s{i % 3}" if i < 750 else "tiny"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = quality_rules.judge(frame, Scratch(spark, "t")).toPandas().sort_values("doc_id").reset_index(drop=True)
+    documents = frame.toPandas()  # noqa: F841  read by the SQL
+    want = duckdb.sql(quality_rules.oracle()).df().sort_values("doc_id").reset_index(drop=True)
+    assert 0 < (~got["kept"]).sum() < 700
+    assert got.astype(str).equals(want[got.columns].astype(str))
+
+
 def test_quality_model(spark, docs):
     good = [" ".join(f"w{(i * 7 + j * j) % 997}" for j in range(60)) for i in range(300)]
     bad = [" ".join(["spam"] * (40 + i % 9)) for i in range(300)]
@@ -124,6 +143,62 @@ def test_language_model_is_a_distribution():
     assert m.predict(["the mat", "123", ""])[0] == ["en", "und", "und"]
 
 
+def test_code_lengths_against_brute_force():
+    """Escape method C with exclusion, byte by byte from the counts."""
+    rng = np.random.default_rng(1)
+    trained = [bytes(rng.choice(np.frombuffer(b"abcde \xc3", np.uint8), 400)), bytes(rng.choice(np.frombuffer(b"abxyz ", np.uint8), 300))]
+    counts = {}
+    for lang, t in zip(("aa", "bb"), trained, strict=True):
+        grams, n = np.unique(language_id.gram_codes(t), return_counts=True)
+        counts[lang] = (grams.astype(np.int64), n.astype(float))
+    m = language_id.LanguageModel(counts)
+
+    def bits(t, text):
+        pad, total = b"\0\0\0" + t, 0.0
+        for i in range(len(text)):
+            before, b = (b"\0\0\0" + text)[i : i + 3], text[i]
+
+            def p(k, out, before=before):
+                """Probability of each byte by the k last bytes, over those not in out."""
+                if k < 0:
+                    return {x: 1 / 256 for x in range(256)}
+                seen = {}
+                for j in range(3, len(pad)):
+                    if pad[j - k : j] == before[3 - k :]:
+                        seen[pad[j]] = seen.get(pad[j], 0) + 1
+                lower = p(k - 1, out)
+                if not seen:
+                    return lower
+                n, d = sum(seen.values()), len(seen)
+                left = sum(v for x, v in lower.items() if x not in seen)
+                return {x: seen[x] / (n + d) if x in seen else d / (n + d) * lower[x] / left for x in range(256)}
+
+            total -= np.log2(p(3, set())[b])
+        return total
+
+    text = bytes(rng.choice(np.frombuffer(b"abcdexyz q\xff", np.uint8), 40))
+    assert np.allclose(m.code_lengths([text])[0], [bits(t, text) for t in trained], rtol=1e-4)
+
+
+def test_many_languages_and_numbers_that_are_no_letters():
+    rng = np.random.default_rng(1)
+    counts = {}
+    for k in range(40):
+        grams, n = np.unique(language_id.gram_codes(bytes(rng.integers(0, 256, 3000, dtype=np.uint8))), return_counts=True)
+        counts[f"l{k:02}"] = (grams.astype(np.int64), n.astype(float))
+    m = language_id.LanguageModel(counts)
+    assert m.nbytes() < 1.5 * language_id.MODEL_BYTES
+    assert m.predict(["²½①Ⅷ 12", "a²"])[0][0] == "und" and m.predict(["a²"])[0][0] != "und"
+
+
+def test_language_id_of_long_repeated_and_no_rows(spark):
+    texts = ["the cat sat on the mat " * 30_000, "le chat dort sur le lit " * 3, "the cat sat", "le chat dort", "", None]
+    frame = spark.createDataFrame([(i, t, ("en", "fr")[i % 2]) for i, t in enumerate([*texts, *texts])], "doc_id long, text string, lang string")
+    got = {(r["doc_id"] % 6, r["lang_pred"]) for r in language_id.predict_languages(frame, Scratch(spark, "t")).collect()}
+    assert got == {(0, "en"), (1, "fr"), (2, "en"), (3, "fr"), (4, "und"), (5, "und")}
+    assert language_id.predict_languages(frame.limit(0), Scratch(spark, "t")).count() == 0
+
+
 def test_language_id(spark, docs):
     rows = language_id.predict_languages(docs, Scratch(spark, "t")).collect()
     assert len(rows) == docs.count()
@@ -144,7 +219,65 @@ def components(texts):
     return sets, group
 
 
-@pytest.mark.parametrize("limits", [{}, {"REGION_SHINGLES": 200, "CELL_DOCS": 2, "CELL_PIVOTS": 3}])
+def test_regions_are_split_into_cells_and_windows_spare_pairs():
+    """Clusters of sets at distances below 1 from each other: Voronoi splits, replication at borders and windows all act, and the links are exact."""
+    rng = np.random.default_rng(2)
+    done = {"splits": 0, "replicated": 0, "spared": 0}
+    for _ in range(6):
+        sets, base = [], rng.integers(0, 2**63, 40, dtype=np.uint64)
+        for _ in range(5):
+            center = np.concatenate([base[:4], rng.integers(0, 2**63, 56, dtype=np.uint64)])
+            for _ in range(8):
+                sets.append(np.unique(np.concatenate([center[rng.random(60) > rng.random() * 0.3], rng.integers(0, 2**63, rng.integers(0, 12), dtype=np.uint64)])))
+        r = ngram_join.Region(np.arange(len(sets)), sets)
+        r.join(np.arange(len(sets)))
+        for name in done:
+            done[name] += r.done[name]
+        group = list(range(len(sets)))
+
+        def root(i, group=group):
+            while group[i] != i:
+                i = group[i]
+            return i
+
+        for i, a in enumerate(sets):
+            for j in range(i):
+                both = len(np.intersect1d(a, sets[j]))
+                if 100 * both >= 80 * (len(a) + len(sets[j]) - both):
+                    x, y = sorted((root(i), root(j)))
+                    group[y] = x
+        by_id = np.argsort(r.ids)
+        found = r.roots()
+        assert [[root(i) == root(j) for j in range(i)] for i in range(len(sets))] == [[found[by_id[i]] == found[by_id[j]] for j in range(i)] for i in range(len(sets))]
+    assert min(done.values()) > 0, done
+
+
+def test_packed_columns_come_back():
+    rng = np.random.default_rng(0)
+    columns = [rng.integers(0, 2**63, 77).astype("u8"), rng.integers(0, 2**31, 77).astype("u4"), rng.integers(-9, 9, 77)]
+    assert all((a == b).all() for a, b in zip(columns, ngram_join.unpack(ngram_join.pack(*columns), 77, "u8", "u4", "i8"), strict=True))
+
+
+def test_heavy_region_is_split_by_pivots_of_all_executors(spark, monkeypatch):
+    """Near copies in four clusters that share shingles: too heavy for a task, met by pivots, cells and, where these don't part, blocks."""
+    monkeypatch.setattr(ngram_join, "REGION_SHINGLES", 600)
+    monkeypatch.setattr(ngram_join, "BROADCAST_BYTES", 10_000)
+    rng = np.random.default_rng(4)
+    common = [f"c{i}" for i in range(9)]
+    texts = []
+    for k in range(4):
+        words = [*common, *(f"k{k}w{i}" for i in range(70))]
+        for _ in range(25):
+            own = [w if rng.random() > 0.004 else f"x{rng.integers(10**9)}" for w in words]
+            texts.append(" ".join(own))
+    sets, group = components(texts)
+    scratch = Scratch(spark, "t")
+    rows = {r["doc_id"]: r for r in ngram_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), scratch).collect()}
+    assert [rows[i]["component_id"] for i in range(len(texts))] == group
+    assert spark.read.parquet(scratch.path("measured-0-0")).count() > 5
+
+
+@pytest.mark.parametrize("limits", [{}, {"REGION_SHINGLES": 200, "CELL_DOCS": 2, "CELL_PIVOTS": 3, "BROADCAST_IDS": 0, "BUCKET_POSTINGS": 300, "PACKED_DOCS": 4}])
 def test_ngram_join(spark, docs, limits, monkeypatch):
     for name, value in limits.items():
         monkeypatch.setattr(ngram_join, name, value)
@@ -154,7 +287,10 @@ def test_ngram_join(spark, docs, limits, monkeypatch):
     sets, group = components(texts)
     rows = {r["doc_id"]: r for r in ngram_join.near_duplicates(frame, Scratch(spark, "t")).collect()}
     assert [(rows[i]["n_shingles"], rows[i]["component_id"]) for i in range(len(texts))] == [(len(s), g) for s, g in zip(sets, group, strict=True)]
-    assert ngram_join.near_duplicates(docs, Scratch(spark, "t")).count() == docs.count()
+    if not limits:
+        got = {(r["doc_id"], r["component_id"]) for r in ngram_join.near_duplicates(docs, Scratch(spark, "t")).collect()}
+        assert {(None, None), (4, 4), (5, 4), (0, 0)} <= got and len(got) == docs.count() - 1  # a repeated row; a null id links with nothing
+        assert ngram_join.near_duplicates(docs.limit(0), Scratch(spark, "t")).count() == 0
 
 
 def test_decontamination(spark, docs):
@@ -284,6 +420,13 @@ def test_revisits(spark, bits, monkeypatch):
     assert {k: v[:2] for k, v in got.items() if k != 2} == {4: (3, "mismatch"), 5: (None, "no_response"), 6: (None, "no_response"), 7: (None, "no_response"), 8: (3, "no_validator")}
 
 
+def test_revisits_by_last_modified(spark):
+    rows = [(1, 1, "http://a.com/p", "response", None, "Mon", None), (2, 2, "http://a.com/p", "revisit", None, "Mon", None), (3, 2, "http://a.com/p", "revisit", None, "Tue", None), (4, 2, "http://a.com/p", "revisit", '"e"', "Mon", None)]
+    frame = spark.createDataFrame(rows, "record_id long, ts long, url string, kind string, etag string, last_modified string, headers map<string,string>")
+    got = {r["record_id"]: r["status"] for r in revisits.resolve(frame, Scratch(spark, "t")).collect()}
+    assert got == {2: "resolved", 3: "mismatch", 4: "no_validator"}  # an entity tag that only the revisit has can't be checked, and takes precedence
+
+
 @pytest.mark.parametrize("bits", [16, 3])
 def test_revisits_against_brute_force(spark, bits, monkeypatch):
     """Random captures with ties, repeated rows and times on both sides of zero."""
