@@ -297,17 +297,22 @@ def signatures(texts: DataFrame, frequent: Frequent, buckets: int) -> DataFrame:
 _PAIRS = "pivot long, member long, n long, k long, early boolean"
 
 
+def _rows_of_pairs(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["pivot", "member", "n", "k", "early"])
+
+
 def _pairs(pivot: np.ndarray, member: np.ndarray, n: np.ndarray, k: np.ndarray, early: np.ndarray) -> pa.RecordBatch:
     """Rows of ``_PAIRS``, summed by (pivot, member)."""
     order = np.lexsort((member, pivot))
     pivot, member = pivot[order], member[order]
     new = np.flatnonzero(np.concatenate(([True], (pivot[1:] != pivot[:-1]) | (member[1:] != member[:-1]))))
-    columns = [pivot[new], member[new], n[order][new], np.add.reduceat(k[order], new), np.logical_or.reduceat(early[order], new)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["pivot", "member", "n", "k", "early"])
+    return _rows_of_pairs(pivot[new], member[new], n[order][new], np.add.reduceat(k[order], new), np.logical_or.reduceat(early[order], new))
 
 
 def stretches(s: np.ndarray, uid: np.ndarray, n: np.ndarray, early: np.ndarray) -> pa.RecordBatch | None:
-    """Posting lists are cut where the size jumps by more than the threshold allows; of each stretch of two or more, the smallest set is the pivot."""
+    """Posting lists are cut where the size jumps by more than the threshold allows; of each stretch of two or more, the smallest set is the pivot.
+
+    A row for each shingle and member: Spark's partial aggregation sums them."""
     order = np.argsort(s)
     both = s[order][1:] == s[order][:-1]
     order = order[np.concatenate(([False], both)) | np.concatenate((both, [False]))]
@@ -322,7 +327,7 @@ def stretches(s: np.ndarray, uid: np.ndarray, n: np.ndarray, early: np.ndarray)
     if not second.any():
         return None
     of, member = np.concatenate([lead[~start], lead[second]]), np.concatenate([np.flatnonzero(~start), lead[second]])
-    return _pairs(uid[of], uid[member], n[member], np.ones(len(of), np.int64), early[member])
+    return _rows_of_pairs(uid[of], uid[member], n[member], np.ones(len(of), np.int64), early[member])
 
 
 def elect(signed: DataFrame, buckets: int) -> DataFrame:
@@ -399,9 +404,10 @@ def regions_of(signed: DataFrame, moved: DataFrame, buckets: int, scratch: Scrat
     elected = scratch.save(elected, "elected")
     partner = F.ceil(F.col("n") * NUM / DEN)  # the smallest set that it can link with
     able = elected.groupBy("member").agg(F.sum("k").alias("k"), F.max("n").alias("n")).where(F.col("k") >= F.ceil(partner / 5)).select("member")
-    placed = elected.where("early").join(able, "member", "left_semi").select("pivot", "member", "n")
-    full = placed.groupBy("pivot").agg(F.count("*").alias("members")).where("members > 1").select("pivot")
-    return scratch.save(placed.join(full, "pivot", "left_semi"), "regions")
+    placed = scratch.save(elected.where("early").join(able, "member", "left_semi").select("pivot", "member", "n"), "placed")
+    # a table on its own: a region of very many members is a skewed join that can be split
+    full = scratch.save(placed.groupBy("pivot").agg(F.count("*").alias("members")).where("members > 1").select("pivot"), "full")
+    return placed.join(few(full, full.count()), "pivot", "left_semi")
 
 
 def sets_of(texts: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -722,7 +728,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         sets = sets.dropDuplicates(["member"])
     placed = few(regions, regions.count()).withColumnRenamed("pivot", "region").join(sets, "member")
     heavy = regions.groupBy("pivot").agg(F.sum("n").alias("weight")).where(F.col("weight") > REGION_SHINGLES).limit(1).count()
-    links = join_weighed(scratch.save(placed, "placed"), scratch) if heavy else join_regions(placed, ["region"])
+    links = join_weighed(scratch.save(placed, "shipped"), scratch) if heavy else join_regions(placed, ["region"])
     several = again.where("lo < hi").select("doc_id", "lo")
     if n := several.count():  # the texts of one id belong together
         links = links.unionByName(posters.join(few(several, n), "doc_id").select(F.col("poster").alias("src"), F.col("lo").alias("dst")).distinct())
