@@ -16,9 +16,11 @@ segmentations; texts are processed in blocks whatever their length; other column
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +30,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm.texts import bounded_batches, id_and_text, kept_by_worker
 
 ALPHA, SEED = 1.0, 20_240_229
-#: Units whose lattices a worker keeps, and their bytes; units sampled at once, the longest unit that is kept, and cells of lattices filled at once.
-CACHE_UNITS, CACHE_BYTES, BLOCK_UNITS, CACHE_CHARS, LATTICE_CELLS = 300_000, 160_000_000, 60_000, 40, 400_000
+#: Units whose lattices a worker keeps, and their bytes; units sampled at once, the longest unit that is kept, and units whose lattices are filled at once.
+CACHE_UNITS, CACHE_BYTES, BLOCK_UNITS, CACHE_CHARS, LATTICE_UNITS = 300_000, 160_000_000, 60_000, 40, 8_192
 _MARK, _CUT = "\ud800", "\ud801"  # can't occur in a text: U+2581 itself, and a border of units
-HASH_BASE = 0x100000001B3
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 
@@ -47,6 +48,11 @@ def uniform(key: np.ndarray, step: int) -> np.ndarray:
     return (mix(key + np.uint64(((step + 1) * 0x9E3779B97F4A7C15) % 2**64)) >> np.uint64(11)) * 2.0**-53
 
 
+def _by_value(x: np.ndarray) -> list[np.ndarray]:
+    """The places of each value of ``x``, from the least value to the greatest."""
+    return np.split(order := np.argsort(x, kind="stable"), np.flatnonzero(np.diff(x[order])) + 1)
+
+
 class Growing:
     """A NumPy array that grows by doubling."""
 
@@ -96,6 +102,8 @@ class PieceSampler:
         kept = [f"(?<=[{''.join(map(re.escape, sorted(joined[c])))}]{_CUT})(?=[{c}])" for c in ".," if joined[c]]
         self.no_border = re.compile(f"{_CUT}(?:{'|'.join(kept)})") if kept else None
         self.longest = max(map(len, self.weights))
+        if self.longest > 0xFF:
+            raise ValueError("a piece has over 255 characters")
         self.byte_weight = (sp.get_piece_size() + 2.0) ** -alpha
         self.decode_table = np.array(self.bytes, object)
         self.single = {p for p in self.weights if len(p) == 1}
@@ -103,35 +111,59 @@ class PieceSampler:
         self.reset()
 
     def _index(self) -> None:
-        """Hash tables from a piece's polynomial hash to its number; pieces whose slot is taken go to the next table."""
+        """A tree of the pieces' characters in one array: a node's child by a class of characters is at the node's base plus the class.
+
+        A base is drawn until all of a node's children fall on free places, nodes of many children first; ``owner`` tells whose a place is.
+        """
         names = list(self.weights)
-        self.piece_id = np.array([self.weights[p][0] for p in names] + [0], np.int32)
-        self.piece_weight = np.array([self.weights[p][1] for p in names] + [0.0])
-        hashes = np.zeros(len(names) + 1, np.uint64)
+        self.piece_id = np.array([self.weights[p][0] for p in names], np.int32)
+        self.piece_weight = np.array([self.weights[p][1] for p in names])
+        self.piece_size = np.array([len(p) for p in names], np.int64)
+        classes = {c: k for k, c in enumerate(sorted(set().union(*names)), 1)}  # 0 is for characters that no piece has
+        self.char_class = np.zeros(0x110000, np.int32)
+        self.char_class[[ord(c) for c in classes]] = range(1, len(classes) + 1)
+        children: list[dict[int, int]] = [{}]
+        ends: dict[int, int] = {}
         for k, p in enumerate(names):
-            h = 0
+            node = 0
             for c in p:
-                h = (h * HASH_BASE + ord(c)) % 2**64
-            hashes[k] = h
-        if len(np.unique(hashes[:-1])) < len(names):
-            raise ValueError("two pieces have the same hash")
-        self.piece_hash, self.slots = hashes, []
-        rest = np.arange(len(names))
-        while len(rest):
-            table = np.full(1 << 18, len(names), np.int32)
-            slot = mix(hashes[rest]) >> np.uint64(46)
-            table[slot] = rest
-            self.slots.append(table)
-            rest = rest[table[slot] != rest]
-
-    def _find(self, h: np.ndarray) -> np.ndarray:
-        """Numbers of the pieces with these hashes; the last number, of weight 0, where there's none."""
-        slot, out = mix(h) >> np.uint64(46), None
-        for table in self.slots:
-            got = table[slot]
-            got = np.where(self.piece_hash[got] == h, got, len(self.piece_id) - 1)
-            out = got if out is None else np.minimum(out, got)
-        return out
+                if (child := children[node].get(classes[c])) is None:
+                    child = children[node][classes[c]] = len(children)
+                    children.append({})
+                node = child
+            ends[node] = k
+        room, draw = 8 * len(children), random.Random(0).randrange
+        bases, place, taken = [0] * len(children), [0] * len(children), bytearray(room + len(classes) + 1)
+        for node in sorted(range(len(children)), key=lambda n: -len(children[n])):
+            if not (below := children[node]):
+                break
+            base = draw(1, room)
+            while any(taken[base + c] for c in below):
+                base = draw(1, room)
+            bases[node] = base
+            for c, child in below.items():
+                place[child], taken[base + c] = base + c, 1
+        self.base, self.owner, self.number = np.zeros(len(taken), np.int32), np.full(len(taken), -1, np.int32), np.full(len(taken), -1, np.int32)
+        self.base[place] = bases
+        for node, below in enumerate(children):
+            self.owner[[place[child] for child in below.values()]] = place[node]
+        for node, k in ends.items():
+            self.number[place[node]] = k
+
+    def _find(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(end, number) of all pieces in ``text``, in order of their ends, the longest first."""
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        classes = np.concatenate((self.char_class[codes], np.zeros(self.longest, np.int32)))
+        at, node, found = np.arange(len(codes)), np.zeros(len(codes), np.int32), []
+        for size in range(1, self.longest + 1):
+            child = self.base[node] + classes[at + (size - 1)]
+            on = np.flatnonzero(self.owner[child] == node)
+            at, node = at[on], child[on]
+            number = self.number[node]
+            hit = np.flatnonzero(number >= 0)
+            found.append((at[hit] + size) << 32 | (0xFF - size) << 24 | number[hit])
+        key = np.sort(np.concatenate(found))
+        return key >> 32, key & 0xFFFFFF
 
     def reset(self) -> None:
         self.known: dict[str, int] = {}
@@ -166,29 +198,25 @@ class PieceSampler:
         self.piece.extend(piece)
         return base + starts
 
-    def _add_alike(self, units: list[str], width: int) -> None:
-        """Forward-filter units of at most ``width`` characters, each with a piece of its own, all at once."""
-        m, longest = len(units), self.longest
-        sizes = np.fromiter(map(len, units), np.int64, m)
-        chars = np.zeros((m, width), np.uint64)
-        flat = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
-        chars[np.arange(width) < sizes[:, None]] = flat
-        forward = np.zeros((m, width + 1))
-        forward[:, 0] = 1
-        weight = np.zeros((m, width, width))  # by unit, end - 1, start
-        number = np.full((m, width, width), len(self.piece_id) - 1, np.int32)
-        for i in range(width):
-            h = np.zeros(m, np.uint64)
-            for j in range(i, min(width, i + longest)):
-                h = h * np.uint64(HASH_BASE) + chars[:, j]
-                number[:, j, i] = got = self._find(h)
-                weight[:, j, i] = w = forward[:, i] * self.piece_weight[got]
-                forward[:, j + 1] += w
-        cum = weight.cumsum(2)
-        unit, end, start = np.nonzero(weight)
-        first = np.cumsum(sizes + 1) - (sizes + 1)
-        posterior = cum[unit, end, start] / cum[unit, end, -1]
-        bases = self._append(sizes + 1, first[unit] + end + 1, posterior, first[unit] + start, self.piece_id[number[unit, end, start]])
+    def _add_alike(self, units: list[str]) -> None:
+        """Forward-filter units all of whose characters are pieces, all at once: a state is a place in the joined units, borders included."""
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        starts = np.cumsum(sizes + 1) - (sizes + 1)
+        state, number = self._find(_CUT.join(units))
+        prev, weight = state - self.piece_size[number], self.piece_weight[number]
+        states = int(starts[-1] + sizes[-1]) + 1
+        forward = np.zeros(states)
+        forward[starts] = 1
+        place = (np.arange(states) - np.repeat(starts, sizes + 1))[state].astype(np.int16)
+        for edges in _by_value(place):
+            weight[edges] *= forward[prev[edges]]
+            np.add.at(forward, state[edges], weight[edges])
+        per_state = np.bincount(state, minlength=states)
+        first = np.cumsum(per_state) - per_state
+        for edges in _by_value((np.arange(len(state)) - first[state]).astype(np.int16))[1:]:
+            weight[edges] += weight[edges - 1]
+        posterior = weight / weight[(first + per_state - 1)[state]]
+        bases = self._append(sizes + 1, state, posterior, prev, self.piece_id[number])
         self._name(units, bases + sizes, sizes, sizes)
 
     def _name(self, units: list[str], ends: np.ndarray, sizes: np.ndarray, room: np.ndarray) -> None:
@@ -245,33 +273,28 @@ class PieceSampler:
         self._name([unit], base + n, np.array([n]), np.array([n + len(extra)]))
 
     def _learn(self, new: set[str]) -> None:
-        """Lattices of units that aren't known yet, by classes of length."""
+        """Lattices of units that aren't known yet."""
         plain = [u for u in new if self.single.issuperset(u)]
         for u in new.difference(plain):
             self._add(u)
-        plain.sort(key=len)
-        at = 0
-        for width in (3, 5, 7, 9, 11, 14, 20, CACHE_CHARS):
-            upto = at
-            while upto < len(plain) and len(plain[upto]) <= width:
-                upto += 1
-            step = min(2048, LATTICE_CELLS // width**2)
-            for i in range(at, upto, step):
-                self._add_alike(plain[i : min(upto, i + step)], width)
-            at = upto
+        for i in range(0, len(plain), LATTICE_UNITS):
+            self._add_alike(plain[i : i + LATTICE_UNITS])
 
     def sample(self, units: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(pieces of the units one after another, how many each has)."""
         if len(self.known) > CACHE_UNITS or self.nbytes() > CACHE_BYTES:
             self.reset()
         known = self.known
-        new = set(units).difference(known)
+        unit = np.fromiter(map(known.get, units, repeat(-1)), np.int64, len(units))
+        unknown = np.flatnonzero(unit < 0)
+        missing = [units[i] for i in unknown.tolist()]
+        new = set(missing)
         long = {u for u in new if len(u) > CACHE_CHARS}
         self._learn(new - long)
         kept = [(array, array.n) for array in (self.end, self.size, self.room, self.first, self.cum, self.prev, self.piece)]
         for u in long:
             self._add(u)
-        unit = np.fromiter(map(known.__getitem__, units), np.int64, len(units))
+        unit[unknown] = np.fromiter(map(known.__getitem__, missing), np.int64, len(missing))
         state, room = self.end.view()[unit], self.room.view()[unit].astype(np.int64)
         stop = state - self.size.view()[unit]
         slot = np.cumsum(room) - 1  # where a unit's last piece goes
@@ -281,11 +304,10 @@ class PieceSampler:
         while len(state):
             draw = uniform(keys, n)
             edge = first[state]
-            while True:  # on to the first edge whose cumulative posterior exceeds the draw
-                behind = cum[edge] <= draw
-                if not behind.any():
-                    break
-                edge = edge + behind
+            behind = np.flatnonzero(cum[edge] <= draw)
+            while len(behind):  # on to the first edge whose cumulative posterior exceeds the draw
+                edge[behind] += 1
+                behind = behind[cum[edge[behind]] <= draw[behind]]
             buffer[slot - n] = piece[edge]
             state = prev[edge]
             on = state != stop
