@@ -68,6 +68,27 @@ def test_no_piece_crosses_a_border():
         assert abs(got.count(ids) / n - w / total) < 0.012
 
 
+def test_lattices_filled_at_once_equal_those_filled_one_by_one():
+    """Units of any length and script, also characters without a piece, cache resets and units over CACHE_CHARS."""
+    rng, model = np.random.default_rng(5), public_tokenizers.path("piece_bpe_32k.model")
+    alphabet = list("etaoinshr  ..,,(){}'\"▁\n\t\x00éßжя中語\U0001f600\U0010ffff") + ["the", " of", "ing", "..."]
+    texts = ["".join(rng.choice(alphabet, n)) for n in (0, 1, 2, 5, 40, 300, 3000)] + ["x" * 200, "ab" * 50 + " a"]
+    s = piece_sampling.PieceSampler(model)
+    plain = piece_sampling.PieceSampler(model)
+    plain._learn = lambda new: [plain._add(u) for u in new]
+    keys = list(range(len(texts)))
+    for _ in range(2):
+        got = [(t, ids.tolist()) for t, ids in s.encode(keys, texts)]
+        assert got == [(t, ids.tolist()) for t, ids in plain.encode(keys, texts)]
+        assert all(s.decode(np.array(ids)) == texts[t] for t, ids in got)
+        s.reset()
+    whole = "▁the,▁(of)..▁中"
+    ends, numbers = s._find(whole)
+    names = list(s.weights)
+    found = [(int(e), names[k]) for e, k in zip(ends, numbers, strict=True)]
+    assert found == [(e, whole[b:e]) for e in range(1, len(whole) + 1) for b in range(e) if whole[b:e] in s.weights]
+
+
 def test_piece_posterior():
     """Sampled segmentations of a unit occur as often as their weights say."""
     s = piece_sampling.PieceSampler(public_tokenizers.path("piece_bpe_32k.model"))
