@@ -9,6 +9,11 @@ smallest document as pivot, and its members enter the pivot's region; a document
 replicated to each. A document too few of whose first shingles are in a list with others can link with nothing and is spared
 the rest. Every linked pair thus meets in a region.
 
+Documents meet in several regions, and most of those that do don't link. So it's sketches that go to every region: bitmaps of 2 to
+4 bits a shingle, which bound an intersection from above and hence spare no linked pair. Pairs that they leave are tied, over all
+regions, and what is connected so is a region anew: a set travels once, with those that it may link with, in however many regions it
+was. Regions in which sketches are too many for a task are kept as they are.
+
 Inside, a region is joined recursively: members without enough shingles in common with the rest leave; pivots split the rest
 into Voronoi cells, with members replicated to all cells within the window of 2 * (1 - threshold); small cells are joined pivot
 by pivot with windows on the distances to earlier pivots. All tests of links are exact, in integers. A region too heavy for a
@@ -53,9 +58,11 @@ BUCKET_POSTINGS, PACKED_DOCS = 1_000_000, 2048
 REGION_SHINGLES, CELL_DOCS, CELL_PIVOTS, HEAVY_SPLITS = 1_000_000, 8, 8, 3
 #: Ids that may be broadcast (8 bytes each), beyond which the join shuffles; bytes of pivots' sets that are broadcast at a time.
 BROADCAST_IDS, BROADCAST_BYTES = 1_000_000, 64_000_000
+#: A region's sketches are compared in a task up to so many times REGION_SHINGLES, and so many times members * shingles (a bound of the pairs' work).
+SKETCHED, SKETCHED_PAIRS = 16, 40_000
 _K = np.uint64(0x9E3779B97F4A7C15)
 _KINDS = {"document": 0, "postings": 1, "frequent": 2, "leaders": 3}
-_SIGNED = "kind int, uid long, doc_id long, n long, name_a long, name_b long, poster long, bucket int, block binary"
+_SIGNED = "kind int, uid long, doc_id long, n long, name_a long, name_b long, poster long, bucket int, block binary, sketch binary"
 
 
 class WordHashes(dict):
@@ -137,6 +144,46 @@ def set_names(s: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix(a + _K).view(np.int64), mix(b ^ (a * _K)).view(np.int64)
 
 
+def sketches(s: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Bitmaps of sets that lie one after another: 2 to 4 bits a shingle, a power of two and 64 at least. Half a bitmap laid over the other is that of half the size."""
+    bits = 1 << np.maximum(6, np.ceil(np.log2(2 * np.maximum(n, 1))).astype(np.int64))
+    begin = np.cumsum(bits) - bits
+    plane = np.zeros(int(bits.sum()), bool)
+    plane[np.repeat(begin, n) + (s & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)] = True
+    packed = np.packbits(plane, bitorder="little").tobytes()
+    return [packed[a : a + b] for a, b in zip((begin >> 3).tolist(), (bits >> 3).tolist(), strict=True)]
+
+
+def may_link(ids: list[int], n: list[int], bitmaps: list[bytes]) -> list[tuple[int, int]]:
+    """A forest of all pairs that can link by their sketches: shingles whose bits the other set hasn't are not in it."""
+    order = np.lexsort((ids, n))
+    name, size = np.array(ids, np.int64)[order], np.array(n, np.int64)[order]
+    words = np.array([len(b) >> 3 for b in bitmaps], np.int64)[order]
+    upto = np.searchsorted(size, DEN * size // NUM, side="right")  # sets of that size are in sketches of the same size or twice that
+    group, links = np.arange(len(name)), []
+    for width in np.unique(words):
+        lo, hi = np.searchsorted(words, width), np.searchsorted(words, width, side="right")
+        last = int(upto[hi - 1])
+        rows = np.frombuffer(b"".join(bitmaps[i] for i in order[lo:hi]), np.uint64).reshape(-1, width)
+        if last > hi:
+            double = np.frombuffer(b"".join(bitmaps[i] for i in order[hi:last]), np.uint64).reshape(-1, 2, width)
+            rows = np.concatenate([rows, double[:, 0] | double[:, 1]])
+        for i in range(lo, hi):
+            x = np.arange(i + 1, upto[i])
+            x = x[group[x] != group[i]]
+            if not len(x):
+                continue
+            own, others = rows[i - lo], rows[x - lo]
+            both = np.bitwise_count(own & others).sum(1, dtype=np.int64)
+            one, other = int(np.bitwise_count(own).sum(dtype=np.int64)), np.bitwise_count(others).sum(1, dtype=np.int64)
+            shared = np.minimum(size[i] - one + both, size[x] - other + both)
+            for j in x[DEN * shared >= NUM * (size[i] + size[x] - shared)].tolist():
+                if group[i] != group[j]:
+                    group[group == group[j]] = group[i]
+                    links.append((int(name[i]), int(name[j])))
+    return links
+
+
 class Frequent:
     """Sorted hashes of shingles that are frequent in a bounded sample, and the mean size of sets in it."""
 
@@ -209,7 +256,7 @@ class Leaders:
 def _rows(**columns: np.ndarray | list) -> pa.RecordBatch:
     """A batch of ``_SIGNED``; columns not given are null."""
     n = len(next(iter(columns.values())))
-    types = {"kind": pa.int32(), "bucket": pa.int32(), "block": pa.binary()}
+    types = {"kind": pa.int32(), "bucket": pa.int32(), "block": pa.binary(), "sketch": pa.binary()}
     names = [c.split()[0] for c in _SIGNED.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(columns[c], types.get(c, pa.int64())) if c in columns else pa.nulls(n, types.get(c, pa.int64())) for c in names], names=names)
 
@@ -267,7 +314,7 @@ class Poster:
 
 
 def signatures(texts: DataFrame, frequent: Frequent, buckets: int) -> DataFrame:
-    """Rows of ``_SIGNED``. Of each document: uid, n (shingles), its set's name, and poster, the first of the task with the same set.
+    """Rows of ``_SIGNED``. Of each document: uid, n (shingles), its set's name, poster, the first of the task with the same set, and the sketch of a poster.
 
     Blocks of postings have the uid from which theirs count, and n postings.
     """
@@ -286,7 +333,9 @@ def signatures(texts: DataFrame, frequent: Frequent, buckets: int) -> DataFrame:
             leader = [seen.setdefault(name, i) if ok else i for name, i, ok in zip(zip(a.tolist(), b.tolist(), strict=True), own.tolist(), able.tolist(), strict=True)]
             posts = able & (np.array(leader, np.int64) == own)
             poster.add(own[posts], s[np.repeat(posts, n)], n[posts])
-            yield _rows(kind=[_KINDS["document"]] * len(n), uid=own, doc_id=batch.column(0), n=n, name_a=a, name_b=b, poster=leader)
+            sketched = np.full(len(n), None)
+            sketched[posts] = sketches(s[np.repeat(posts, n)], n[posts])
+            yield _rows(kind=[_KINDS["document"]] * len(n), uid=own, doc_id=batch.column(0), n=n, name_a=a, name_b=b, poster=leader, sketch=sketched)
             if poster.docs >= PACKED_DOCS:
                 yield from poster.flush()
         yield from poster.end()
@@ -410,6 +459,40 @@ def regions_of(signed: DataFrame, moved: DataFrame, buckets: int, scratch: Scrat
     return placed.join(few(full, full.count()), "pivot", "left_semi")
 
 
+def tied_regions(regions: DataFrame, signed: DataFrame, scratch: Scratch) -> DataFrame:
+    """(pivot, member, n) with members that may link by their sketches, each in one region; regions that are too heavy for sketches are kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, links = None, [], []
+        for batch in batches:
+            for pivot, *row in rows_of(batch, "pivot", "member", "n", "sketch"):
+                if pivot != now:
+                    if held:
+                        links += may_link(*zip(*held, strict=True))
+                    now, held = pivot, []
+                    if len(links) > 10_000:
+                        yield _links(links)
+                        links = []
+                held.append(row)
+        if held:
+            links += may_link(*zip(*held, strict=True))
+        yield _links(links)
+
+    weighed = regions.groupBy("pivot").agg(F.count("*").alias("members"), F.sum("n").alias("weight"))
+    beyond = (F.col("weight") > SKETCHED * REGION_SHINGLES) | (F.col("members").cast("double") * F.col("weight") > float(SKETCHED_PAIRS * REGION_SHINGLES))
+    kept = scratch.save(weighed.where(beyond).select("pivot"), "kept")
+    n = kept.count()
+    light = regions.join(few(kept, n), "pivot", "left_anti") if n else regions
+    bitmaps = signed.where(F.col("sketch").isNotNull()).select(F.col("uid").alias("member"), "sketch")
+    placed = few(light, light.count()).join(bitmaps, "member").select("pivot", "member", "n", "sketch")
+    tied = scratch.save(placed.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(run, "src long, dst long"), "tied")
+    components = connected_components(tied, scratch, "ties")
+    sizes = light.select("member", "n").distinct()
+    # ids of these regions are below 0, where no pivot is
+    joined = components.join(sizes, F.col("vid") == F.col("member")).select(F.bitwise_not("component").alias("pivot"), "member", "n")
+    return scratch.save(joined.unionByName(regions.join(few(kept, n), "pivot", "left_semi")) if n else joined, "regions")
+
+
 def sets_of(texts: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """uid and sorted set (unsigned 64-bit, as bytes) of documents (uid, doc_id, name_a, name_b)."""
 
@@ -717,7 +800,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     equal = named.groupBy("name_a", "name_b").agg(F.min("poster").alias("rep"), F.min("least").alias("least"), F.sum("copies").alias("copies")).where("copies > 1").drop("copies")
     same = scratch.save(named.select("name_a", "name_b", "poster").join(equal, ["name_a", "name_b"]).select("poster", "rep", "least"), "same")
     moved = same.where("poster <> rep").select("poster", "rep")
-    regions = regions_of(signed, moved, buckets, scratch)
+    regions = tied_regions(regions_of(signed, moved, buckets, scratch), signed, scratch)
     scratch.release()
     members = regions.select(F.col("member").alias("uid")).distinct()
     wanted = scratch.save(rows.join(members, "uid", "left_semi").select("uid", "doc_id", "name_a", "name_b"), "wanted")

@@ -314,6 +314,60 @@ def test_ngram_join(spark, docs, limits, monkeypatch):
         assert ngram_join.near_duplicates(docs.limit(0), Scratch(spark, "t")).count() == 0
 
 
+def test_sketches_lose_no_link():
+    """Sets of 1 to 300 shingles, copies that differ by a few: pairs that link are tied by their sketches whatever the sizes of these, strangers aren't."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in [1, 2, 5, 9, 16, 30, 32, 33, 40, 63, 64, 65, 120, 128, 140, 256, 300]:
+        own = rng.integers(0, 2**63, n, dtype=np.uint64)
+        for gone in (0.0, 0.05, 0.1, 0.2):
+            sets.append(np.unique(np.concatenate([own[rng.random(n) >= gone], rng.integers(0, 2**63, int(n * gone * 0.5), dtype=np.uint64), own[:1]])))
+    n = np.array([len(s) for s in sets])
+    bitmaps = ngram_join.sketches(np.concatenate(sets), n)
+    assert all(2 * k <= 8 * len(b) <= max(64, 4 * k) for k, b in zip(n.tolist(), bitmaps, strict=True))
+    group = list(range(len(sets)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for a, b in ngram_join.may_link(list(range(len(sets))), n.tolist(), bitmaps):
+        x, y = sorted((root(a), root(b)))
+        assert x != y  # a forest
+        group[y] = x
+    linked = straddle = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(a, sets[j]))
+            if 100 * both >= 80 * (len(a) + len(sets[j]) - both):
+                linked, straddle = linked + 1, straddle + (len(bitmaps[i]) != len(bitmaps[j]))
+                assert root(i) == root(j)
+            assert both or root(i) != root(j)
+    assert linked > 50 and straddle
+
+
+@pytest.mark.parametrize("limits", [{}, {"SKETCHED": 0}, {"SKETCHED_PAIRS": 0, "BROADCAST_IDS": 0}])
+def test_a_set_travels_once(spark, monkeypatch, limits):
+    """Documents of two passages each, on a grid, so that they meet others in several regions, and near copies of some: only what may link travels, and once."""
+    for name, value in limits.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    shipped, join_regions = [], ngram_join.join_regions
+    monkeypatch.setattr(ngram_join, "join_regions", lambda regions, keys: shipped.extend(r["member"] for r in regions.select("member").collect()) or join_regions(regions, keys))
+    passage = lambda name: [f"{name}w{i}" for i in range(25)]
+    texts = [[*passage(f"a{i}"), *(f"o{i}x{j}w{k}" for k in range(25)), *passage(f"b{j}")] for i in range(6) for j in range(6)]
+    texts += [[*w[:40], "new", *w[41:]] for w in texts[:8]]
+    texts = [" ".join(w) for w in texts]
+    sets, group = components(texts)
+    rows = {r["doc_id"]: r for r in ngram_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), Scratch(spark, "t")).collect()}
+    assert [(rows[i]["n_shingles"], rows[i]["component_id"]) for i in range(len(texts))] == [(len(s), g) for s, g in zip(sets, group, strict=True)]
+    assert sum(g != i for i, g in enumerate(group)) == 8
+    if limits:  # regions beyond the bounds of sketches travel as they are
+        assert len(shipped) > len(set(shipped)) > 16
+    else:
+        assert len(shipped) == len(set(shipped)) == 16
+
+
 def test_decontamination(spark, docs):
     item = " ".join(f"q{i}" for i in range(20))
     items = spark.createDataFrame([(1, item), (2, "two words"), (3, None), (4, "..."), (1, item)], "item_id long, text string")
