@@ -12,7 +12,8 @@ the rest. Every linked pair thus meets in a region.
 Documents meet in several regions, and most of those that do don't link. So it's sketches that go to every region: bitmaps of 2 to
 4 bits a shingle, which bound an intersection from above and hence spare no linked pair. Pairs that they leave are tied, over all
 regions, and what is connected so is a region anew: a set travels once, with those that it may link with, in however many regions it
-was. Regions in which sketches are too many for a task are kept as they are.
+was. Regions with too many sketches for a task are parted by sizes that can link, and what is still too heavy is dealt to pairs of
+blocks; only beyond a bound on these copies do sets travel to such a part.
 
 Inside, a region is joined recursively: members without enough shingles in common with the rest leave; pivots split the rest
 into Voronoi cells, with members replicated to all cells within the window of 2 * (1 - threshold); small cells are joined pivot
@@ -58,8 +59,9 @@ BUCKET_POSTINGS, PACKED_DOCS = 1_000_000, 2048
 REGION_SHINGLES, CELL_DOCS, CELL_PIVOTS, HEAVY_SPLITS = 1_000_000, 8, 8, 3
 #: Ids that may be broadcast (8 bytes each), beyond which the join shuffles; bytes of pivots' sets that are broadcast at a time.
 BROADCAST_IDS, BROADCAST_BYTES = 1_000_000, 64_000_000
-#: A region's sketches are compared in a task up to so many times REGION_SHINGLES, and so many times members * shingles (a bound of the pairs' work).
-SKETCHED, SKETCHED_PAIRS = 16, 40_000
+#: Sketches are compared in a task up to so many times REGION_SHINGLES of their sets, and so many times members * shingles (a bound of the pairs' work), beyond that
+#: in pairs of blocks, up to so many blocks.
+SKETCHED, SKETCHED_PAIRS, SKETCH_BLOCKS = 16, 40_000, 16
 _K = np.uint64(0x9E3779B97F4A7C15)
 _KINDS = {"document": 0, "postings": 1, "frequent": 2, "leaders": 3}
 _SIGNED = "kind int, uid long, doc_id long, n long, name_a long, name_b long, poster long, bucket int, block binary, sketch binary"
@@ -460,37 +462,50 @@ def regions_of(signed: DataFrame, moved: DataFrame, buckets: int, scratch: Scrat
 
 
 def tied_regions(regions: DataFrame, signed: DataFrame, scratch: Scratch) -> DataFrame:
-    """(pivot, member, n) with members that may link by their sketches, each in one region; regions that are too heavy for sketches are kept."""
+    """(pivot, member, n) with members that may link by their sketches, each in one region; parts of regions that are too heavy for sketches are kept."""
+    keys = ["pivot", "slot", "a", "b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, links = None, [], []
         for batch in batches:
-            for pivot, *row in rows_of(batch, "pivot", "member", "n", "sketch"):
-                if pivot != now:
+            for *key, member, n, sketch in rows_of(batch, *keys, "member", "n", "sketch"):
+                if key != now:
                     if held:
                         links += may_link(*zip(*held, strict=True))
-                    now, held = pivot, []
+                    now, held = key, []
                     if len(links) > 10_000:
                         yield _links(links)
                         links = []
-                held.append(row)
+                held.append((member, n, sketch))
         if held:
             links += may_link(*zip(*held, strict=True))
         yield _links(links)
 
-    weighed = regions.groupBy("pivot").agg(F.count("*").alias("members"), F.sum("n").alias("weight"))
-    beyond = (F.col("weight") > SKETCHED * REGION_SHINGLES) | (F.col("members").cast("double") * F.col("weight") > float(SKETCHED_PAIRS * REGION_SHINGLES))
-    kept = scratch.save(weighed.where(beyond).select("pivot"), "kept")
-    n = kept.count()
-    light = regions.join(few(kept, n), "pivot", "left_anti") if n else regions
+    sums = F.count("*").alias("members"), F.sum("n").alias("weight")
+    load = F.greatest(F.col("weight") / float(SKETCHED * REGION_SHINGLES), F.sqrt(F.col("members") * (F.col("weight") / float(SKETCHED_PAIRS * REGION_SHINGLES))))
+    large = scratch.save(regions.groupBy("pivot").agg(*sums).where(load > 1).select("pivot"), "large")
+    n, none, kept = large.count(), F.lit(0).cast("long"), None
+    if n:
+        # a size class and the next one hold all that a set of the class links with
+        size = F.floor(F.log("n") / float(np.log(DEN / NUM)) + 1e-9) + 1
+        sized = regions.join(few(large, n), "pivot", "left_semi").withColumn("slot", F.explode(F.array(size, size - 1)))
+        plan = sized.groupBy("pivot", "slot").agg(*sums).where("members > 1").select("pivot", "slot", F.when(load > 1, F.ceil(2 * load)).otherwise(1).alias("blocks"))
+        plan = scratch.save(plan, "blocks")
+        sized = sized.join(few(plan, plan.count()), ["pivot", "slot"])
+        dealt = sized.where(F.col("blocks") <= SKETCH_BLOCKS).withColumn("own", F.pmod(F.xxhash64("member"), "blocks")).withColumn("other", F.explode(F.sequence(none, F.col("blocks") - 1)))
+        light = regions.join(few(large, n), "pivot", "left_anti").select("pivot", none.alias("slot"), none.alias("a"), none.alias("b"), "member", "n")
+        light = scratch.save(light.unionByName(dealt.select("pivot", "slot", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "member", "n")), "dealt")
+        if plan.where(F.col("blocks") > SKETCH_BLOCKS).limit(1).count():
+            kept = sized.where(F.col("blocks") > SKETCH_BLOCKS).select(F.xxhash64("pivot", "slot").alias("pivot"), "member", "n")
+    else:
+        light = regions.select("pivot", none.alias("slot"), none.alias("a"), none.alias("b"), "member", "n")
     bitmaps = signed.where(F.col("sketch").isNotNull()).select(F.col("uid").alias("member"), "sketch")
-    placed = few(light, light.count()).join(bitmaps, "member").select("pivot", "member", "n", "sketch")
-    tied = scratch.save(placed.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(run, "src long, dst long"), "tied")
+    placed = few(light, light.count()).join(bitmaps, "member").select(*keys, "member", "n", "sketch")
+    tied = scratch.save(placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "src long, dst long"), "tied")
     components = connected_components(tied, scratch, "ties")
     sizes = light.select("member", "n").distinct()
-    # ids of these regions are below 0, where no pivot is
-    joined = components.join(sizes, F.col("vid") == F.col("member")).select(F.bitwise_not("component").alias("pivot"), "member", "n")
-    return scratch.save(joined.unionByName(regions.join(few(kept, n), "pivot", "left_semi")) if n else joined, "regions")
+    joined = components.join(sizes, F.col("vid") == F.col("member")).select(F.col("component").alias("pivot"), "member", "n")
+    return scratch.save(joined.unionByName(kept) if kept is not None else joined, "regions")
 
 
 def sets_of(texts: DataFrame, wanted: DataFrame, n: int) -> DataFrame:

@@ -347,7 +347,7 @@ def test_sketches_lose_no_link():
     assert linked > 50 and straddle
 
 
-@pytest.mark.parametrize("limits", [{}, {"SKETCHED": 0}, {"SKETCHED_PAIRS": 0, "BROADCAST_IDS": 0}])
+@pytest.mark.parametrize("limits", [{}, {"SKETCHED": 0.0002, "SKETCH_BLOCKS": 100}, {"SKETCHED_PAIRS": 0.0005, "SKETCH_BLOCKS": 100, "BROADCAST_IDS": 0}, {"SKETCHED": 0.0002, "SKETCH_BLOCKS": 1}])
 def test_a_set_travels_once(spark, monkeypatch, limits):
     """Documents of two passages each, on a grid, so that they meet others in several regions, and near copies of some: only what may link travels, and once."""
     for name, value in limits.items():
@@ -359,13 +359,17 @@ def test_a_set_travels_once(spark, monkeypatch, limits):
     texts += [[*w[:40], "new", *w[41:]] for w in texts[:8]]
     texts = [" ".join(w) for w in texts]
     sets, group = components(texts)
-    rows = {r["doc_id"]: r for r in ngram_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), Scratch(spark, "t")).collect()}
+    scratch = Scratch(spark, "t")
+    rows = {r["doc_id"]: r for r in ngram_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), scratch).collect()}
     assert [(rows[i]["n_shingles"], rows[i]["component_id"]) for i in range(len(texts))] == [(len(s), g) for s, g in zip(sets, group, strict=True)]
     assert sum(g != i for i, g in enumerate(group)) == 8
-    if limits:  # regions beyond the bounds of sketches travel as they are
+    if limits.get("SKETCH_BLOCKS") == 1:  # parts beyond the bounds of sketches travel as they are
         assert len(shipped) > len(set(shipped)) > 16
     else:
         assert len(shipped) == len(set(shipped)) == 16
+    if limits:
+        blocks = [r["blocks"] for r in spark.read.parquet(scratch.path("blocks")).collect()]
+        assert max(blocks) > 2
 
 
 def test_decontamination(spark, docs):
