@@ -7,14 +7,13 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import PYTHON_SEPARATORS, PYTHON_SEPARATORS_SPLIT
+from corpusloom.functions.text import PYTHON_SEPARATORS, PYTHON_SEPARATORS_SPLIT, slices
 
 SEED, PRIME, TOP = 42, 2**61 - 1, 2**32 - 1
 
@@ -68,6 +67,15 @@ def text_signatures(texts: DataFrame, num_perm: int, ngram: int, min_length: int
 
     A null text has no shingle and all ones of 32 bits; with ``isolate_short`` texts without a shingle are left out.
     """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return signed_batches(batches, num_perm, ngram, min_length, split_ideographs, unicode_form, isolate_short)
+
+    return texts.mapInArrow(run, "uid long, signature array<long>")
+
+
+def signed_batches(batches: Iterator[pa.RecordBatch], num_perm: int, ngram: int, min_length: int, split_ideographs: bool, unicode_form: bool, isolate_short: bool) -> Iterator[pa.RecordBatch]:
+    """What a task of ``text_signatures`` does. Strings and hashes are made of a slice of bounded bytes at a time, as batches can hold 10,000 texts."""
     separators, non_word = re.compile(PYTHON_SEPARATORS_SPLIT if split_ideographs else PYTHON_SEPARATORS), re.compile(r"\W")
 
     def hashes(t: str | None) -> list[int]:
@@ -80,15 +88,14 @@ def text_signatures(texts: DataFrame, num_perm: int, ngram: int, min_length: int
         grams = {" ".join(words[i : i + ngram]) for i in range(max(1, len(words) - ngram + 1))}
         return [int.from_bytes(hashlib.sha1(g.lower().encode("utf-8", "replace"), usedforsecurity=False).digest()[:4], "little") for g in grams]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [hashes(t) for t in batch.column(1).to_pylist()]
+    for batch in batches:
+        for begin, n in slices(batch.column(1)):
+            part = batch.slice(begin, n)
+            found = [np.array(hashes(t), np.uint64) for t in part.column(1).to_pylist()]
             sizes = np.array([len(x) for x in found], np.int64)
-            out = _batch(batch.column(0), least_values(np.fromiter(chain.from_iterable(found), np.uint64, int(sizes.sum())), sizes, num_perm))
+            out = _batch(part.column(0), least_values(np.concatenate(found), sizes, num_perm))
             yield out.filter(pa.array(sizes > 0)) if isolate_short else out
 
-    return texts.mapInArrow(run, "uid long, signature array<long>")
-
 
 def bands(signature_: str, b: int, r: int) -> Column:
     """An array of (band, key)."""

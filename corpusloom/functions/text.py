@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +26,22 @@ PYTHON_SEPARATORS_SPLIT = PYTHON_SEPARATORS + "|(?<=[\u4e00-\u9fff])(?=[\u4e00-\
 NON_WORD = r"[^\p{L}\p{N}_]"
 
 
+#: Bytes of text that a Python worker makes strings of at a time, whatever the size of the batches that Spark sends.
+SLICE_BYTES = 2**20
+
+
+def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """(begin, rows) of consecutive runs of ``limit`` bytes at most, or of one text that is longer."""
+    begin = held = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if i > begin and held + n > limit:
+            yield begin, i - begin
+            begin, held = i, 0
+        held += n
+    if len(texts) > begin:
+        yield begin, len(texts) - begin
+
+
 @cache
 def _nfkc():
     @F.pandas_udf("string")

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,6 +38,24 @@ def test_signatures(spark):
     assert got == {1: [1325523712, 3030624178, 1937760049, 1549906655], 2: [481794548, 3190356802, 2304375400, 645836949], 3: [2**32 - 1] * 4}
 
 
+def test_signatures_hold_a_slice_of_a_batch_at_a_time():
+    """One batch of 6 MB of texts and a long one: its hashes never exist at once, and signatures are those of single texts."""
+    texts = [" ".join(f"w{(i * 7919 + j) % 100003}" for j in range(400)) for i in range(2500)] + [None, "", "long text " * 150_000, "a b c d e f"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["uid", "text"])
+    args = (8, 5, 2, False, True, False)
+    tracemalloc.start()
+    try:
+        sizes = [b.num_rows for b in minhash.signed_batches(iter([batch]), *args)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(sizes) == len(texts) and len(sizes) > 6 and peak < 32e6
+    some = [0, 1234, 2499, 2500, 2501, 2502, 2503]
+    whole = pa.Table.from_batches(minhash.signed_batches(iter([batch]), *args)).to_pylist()
+    assert [r["uid"] for r in whole] == list(range(len(texts)))
+    assert [whole[i] for i in some] == [{"uid": i, "signature": next(minhash.signed_batches(iter([batch.slice(i, 1)]), *args)).column(1)[0].as_py()} for i in some]
+
+
 def test_band_parameters():
     assert minhash.band_parameters(0.7, 256) == (25, 10)
     assert minhash.band_parameters(0.85, 128) == (8, 16)
