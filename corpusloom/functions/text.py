@@ -6,7 +6,6 @@ import unicodedata
 from collections.abc import Callable, Iterator
 from functools import cache
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -28,6 +27,8 @@ NON_WORD = r"[^\p{L}\p{N}_]"
 
 #: Bytes of text that a Python worker makes strings of at a time, whatever the size of the batches that Spark sends.
 SLICE_BYTES = 2**20
+#: A text without any such character is NFKC already: ASCII, and the letters of Latin-1, which are composed.
+UNSTABLE = r"[^\x00-\x7f\x{c0}-\x{ff}]"
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
@@ -42,20 +43,29 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         yield begin, len(texts) - begin
 
 
+def nfkc_array(texts: pa.Array) -> pa.Array:
+    """NFKC of every text; only a slice at a time is held as Python strings, and slices of nulls stay as they are."""
+    form = lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t)
+    parts = (texts.slice(*s) for s in slices(texts))
+    done = [p if p.null_count == len(p) else pa.array([form(t) for t in p.to_pylist()], texts.type) for p in parts]
+    return pa.concat_arrays(done) if done else texts
+
+
 @cache
 def _nfkc():
-    @F.pandas_udf("string")
-    def nfkc(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
+    @F.arrow_udf("string")
+    def nfkc(texts: pa.Array) -> pa.Array:
+        return nfkc_array(texts)
 
     return nfkc
 
 
 def normalize(text: Column, split_ideographs: bool = False, unicode_form: bool = True) -> Column:
-    """Lower-cased, NFKC, with runs of separators replaced by a space. ASCII texts are NFKC already and don't need the Arrow pass:
+    """Lower-cased, NFKC, with runs of separators replaced by a space. Only texts that can change are sent to the Arrow pass, nulls in place of others;
     ``unicode_form=False`` leaves it out for corpora known to be stable."""
     lower = F.lower(text)
-    return F.regexp_replace(_nfkc()(lower) if unicode_form else lower, SEPARATORS_SPLIT if split_ideographs else SEPARATORS, " ")
+    formed = F.coalesce(_nfkc()(F.when(lower.rlike(UNSTABLE), lower)), lower) if unicode_form else lower
+    return F.regexp_replace(formed, SEPARATORS_SPLIT if split_ideographs else SEPARATORS, " ")
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

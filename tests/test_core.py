@@ -1,4 +1,5 @@
 import random
+import re
 import tracemalloc
 import unicodedata
 
@@ -56,6 +57,18 @@ def test_signatures_hold_a_slice_of_a_batch_at_a_time():
     assert [whole[i] for i in some] == [{"uid": i, "signature": next(minhash.signed_batches(iter([batch.slice(i, 1)]), *args)).column(1)[0].as_py()} for i in some]
 
 
+def test_normalize_sends_only_texts_that_can_change(spark):
+    stable = [chr(i) for i in [*range(128), *range(0xC0, 0x100)]]
+    assert all(unicodedata.normalize("NFKC", a + b) == a + b for a in stable for b in stable)
+    given = [None, "", "Plain", "Größe É×÷", "e\u0301", "\u00e9\u0323", "Ａ\u00b2", "\ufb03", "½ \u00a0x", "İ", "\U0001d400b"]
+    rows = spark.createDataFrame(list(enumerate(given)), "i int, t string").select("i", F.lower("t").alias("lower"), text.normalize(F.col("t")).alias("t")).coalesce(1)
+    for r in rows.collect():
+        assert r["t"] == (None if r["lower"] is None else re.sub(text.PYTHON_SEPARATORS, " ", unicodedata.normalize("NFKC", r["lower"])))
+    sent = pa.array([None] * 5 + ["ｆ" * 400_000, None, "ｘ", "a"])
+    assert list(text.slices(sent)) == [(0, 5), (5, 1), (6, 3)] and list(text.slices(sent[:0])) == []
+    assert text.nfkc_array(sent).to_pylist() == [None] * 5 + ["f" * 400_000, None, "x", "a"]
+
+
 def test_band_parameters():
     assert minhash.band_parameters(0.7, 256) == (25, 10)
     assert minhash.band_parameters(0.85, 128) == (8, 16)
